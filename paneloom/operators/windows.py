@@ -1,0 +1,135 @@
+"""Features that look back over earlier rows of a series."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import functions as F
+
+from paneloom.operators.scaling import GROUP_ROW_LIMIT, has_large_group, with_position
+from paneloom.schema import DATE, SERIES, PanelError
+
+STATISTICS = {
+    "mean": F.avg,
+    "std": F.stddev_samp,
+    "min": F.min,
+    "max": F.max,
+    "median": lambda column: F.percentile(column, 0.5),
+}
+
+
+class Lookback(NamedTuple):
+    """A window expression and the number of earlier rows it needs."""
+
+    rows: int
+    build: Callable[[WindowSpec], Column]
+
+
+def lag_of(column: str, k: int) -> Lookback:
+    return Lookback(k, lambda w: F.lag(column, k).over(w))
+
+
+def rolling_of(
+    column: str, window: int, statistic: str, shift: int = 1, min_rows: int | None = None
+) -> Lookback:
+    """Statistic of the `window` rows ending `shift` rows ago.
+
+    NULL unless at least `min_rows` (default: all) of them are present and not NULL.
+    """
+    if shift <= 0:
+        raise PanelError("shift must be positive, or the window would see the current row")
+    if window <= 0:
+        raise PanelError("Rolling windows must be positive")
+    if statistic not in STATISTICS:
+        raise PanelError(f"Unsupported rolling statistic: {statistic}")
+    needed = window if min_rows is None else min_rows
+
+    def build(w: WindowSpec) -> Column:
+        frame = w.rowsBetween(-(window + shift - 1), -shift)
+        return F.when(F.count(column).over(frame) >= needed, STATISTICS[statistic](F.col(column)).over(frame))
+
+    return Lookback(window + shift - 1, build)
+
+
+def add_lookbacks(
+    df: DataFrame,
+    features: Mapping[str, Lookback],
+    keys: Sequence[str] = SERIES,
+    order: Sequence[str] = (DATE,),
+    tiebreak: Sequence[str] = (),
+    split: bool | None = None,
+    chunk_rows: int = GROUP_ROW_LIMIT,
+) -> DataFrame:
+    """Add look-back features per group of `keys`.
+
+    Groups of ordinary size take one exchange and one sort. Groups above `chunk_rows` are cut into
+    chunks of consecutive rows; each chunk also receives the last rows of the one before it, as many
+    as the longest look-back, so results are the same. `split=None` counts group sizes to decide,
+    False is for groups known to be small (a daily panel has one row per day and series), True
+    always cuts. Rows equal in `order` need `tiebreak` columns for a defined result.
+    """
+    if not features:
+        return df
+    if split is None:
+        split = has_large_group(df, keys, chunk_rows)
+    if not split:
+        w = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
+        return df.withColumns({name: f.build(w) for name, f in features.items()})
+
+    reach = max(f.rows for f in features.values())
+    size = max(chunk_rows, reach)
+    placed = with_position(df, keys, order, tiebreak, name="__position")
+    chunk = F.floor(F.col("__position") / size)
+    own = F.struct(chunk.alias("chunk"), F.lit(False).alias("halo"))
+    following = F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("halo"))
+    near_end = F.col("__position") % size >= size - reach
+    copies = placed.withColumn(
+        "__copy", F.explode(F.when(near_end, F.array(own, following)).otherwise(F.array(own)))
+    ).select("*", F.col("__copy.chunk").alias("__chunk"), F.col("__copy.halo").alias("__halo"))
+    w = Window.partitionBy(*keys, "__chunk").orderBy("__position")
+    return (
+        copies.withColumns({name: f.build(w) for name, f in features.items()})
+        .where(~F.col("__halo"))
+        .drop("__position", "__copy", "__chunk", "__halo")
+    )
+
+
+def lag_features(column: str, lags: Sequence[int], prefix: str) -> dict[str, Lookback]:
+    return {f"{prefix}_lag_{k}": lag_of(column, k) for k in sorted({int(k) for k in lags if int(k) > 0})}
+
+
+def rolling_features(
+    column: str, windows: Mapping[int, Sequence[str]], prefix: str, shift: int = 1
+) -> dict[str, Lookback]:
+    return {
+        f"{prefix}_roll_{statistic}_{window}": rolling_of(column, window, statistic, shift)
+        for window in sorted(windows)
+        for statistic in windows[window]
+    }
+
+
+def group_lag(
+    df: DataFrame,
+    column: str,
+    lags: Sequence[int],
+    prefix: str,
+    keys: Sequence[str] = SERIES,
+    split: bool | None = None,
+) -> DataFrame:
+    """Value `k` rows earlier in the group, for each distinct positive `k`."""
+    return add_lookbacks(df, lag_features(column, lags, prefix), keys, split=split)
+
+
+def shifted_rolling(
+    df: DataFrame,
+    column: str,
+    windows: Mapping[int, Sequence[str]],
+    prefix: str,
+    keys: Sequence[str] = SERIES,
+    shift: int = 1,
+    split: bool | None = None,
+) -> DataFrame:
+    """Rolling mean, std, min or max over full windows that end `shift` rows ago."""
+    return add_lookbacks(df, rolling_features(column, windows, prefix, shift), keys, split=split)
