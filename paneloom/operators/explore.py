@@ -76,5 +76,5 @@ def describe(df: DataFrame, columns: Sequence[str], split: bool | None = None) -
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    quartiles = exact_quantiles(long, "x", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"], split)
+    quartiles = exact_quantiles(long, {"q25": ("x", 0.25), "q50": ("x", 0.5), "q75": ("x", 0.75)}, ["column"], split)
     return moments.join(quartiles, "column", "left")
