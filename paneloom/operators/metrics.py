@@ -107,7 +107,7 @@ def best_model_registry(
         .withColumns({"scope": F.lit("overall"), "segment_key": F.lit("all")})
     )
     # Lowest (metric, name) per segment as an aggregate, so models are compared before the shuffle.
-    ranked = F.min(F.struct(name, "model_name", "model_family", *METRICS)).alias("best")
+    ranked = F.min(F.struct(F.col(name).alias("rank_value"), "model_name", "model_family", *METRICS)).alias("best")
     winners = (
         segments.where((F.col("split") == "validation") & F.col(name).isNotNull())
         .groupBy("segment_key")
