@@ -123,24 +123,30 @@ def canonical_sort(df: DataFrame) -> DataFrame:
 def data_summary(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
     """One row: size, date range, distinct ids, zero-demand rate and NULL count per column.
 
-    `raw` is the table before duplicate removal; its surplus rows are the duplicates removed.
+    Figures are first combined per series and then over the series, so the distinct counts run on
+    one row per series and the table is read once. `raw` is the table before duplicate removal; its
+    surplus rows are the duplicates removed.
     """
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in df.columns]
-    rows = F.count(F.lit(1))
-    summary = df.agg(
+    nulls = {f"missing_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
+    per_series = df.groupBy(STORE, PRODUCT).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(DATE).alias("first"),
+        F.max(DATE).alias("last"),
+        F.count_if(F.col(UNITS) == 0).alias("zeros"),
+        *[count.alias(name) for name, count in nulls.items()],
+    )
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    summary = per_series.agg(
         rows.alias("total_row_count"),
         F.lit(len(df.columns)).cast("long").alias("total_column_count"),
-        F.min(DATE).alias("min_date"),
-        F.max(DATE).alias("max_date"),
-        F.coalesce(F.count_if(F.col(UNITS) == 0) / rows, F.lit(0.0)).alias("zero_demand_rate"),
-        *nulls,
+        F.min("first").alias("min_date"),
+        F.max("last").alias("max_date"),
+        F.coalesce(F.sum("zeros") / F.sum("n"), F.lit(0.0)).alias("zero_demand_rate"),
+        F.count_distinct(STORE).alias("number_of_stores"),
+        F.count_distinct(PRODUCT).alias("number_of_products"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in nulls],
     )
-    distinct = {
-        "number_of_stores": df.select(STORE).distinct().agg(F.count(STORE)),
-        "number_of_products": df.select(PRODUCT).distinct().agg(F.count(PRODUCT)),
-    }
-    summary = summary.withColumns({name: counted.scalar() for name, counted in distinct.items()})
-    before = raw.agg(rows).scalar() if raw is not None else F.col("total_row_count")
+    before = raw.agg(F.count(F.lit(1))).scalar() if raw is not None else F.col("total_row_count")
     return summary.withColumn("duplicate_row_count_removed", before - F.col("total_row_count"))
 
 

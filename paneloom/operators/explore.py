@@ -12,19 +12,24 @@ from paneloom.schema import DATE, PRODUCT, STORE, UNITS
 
 
 def coverage(df: DataFrame) -> DataFrame:
-    """One row: date range, distinct days, stores and products, zero-demand rate."""
-    one_pass = df.agg(
-        F.min(DATE).alias("min_date"),
-        F.max(DATE).alias("max_date"),
-        F.coalesce(F.count_if(F.col(UNITS) == 0) / F.count(F.lit(1)), F.lit(0.0)).alias("zero_demand_rate"),
+    """One row: date range, distinct days, stores and products, zero-demand rate.
+
+    Stores and products are counted over one row per series; the days need a second, narrow pass.
+    """
+    per_series = df.groupBy(STORE, PRODUCT).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(DATE).alias("first"),
+        F.max(DATE).alias("last"),
+        F.count_if(F.col(UNITS) == 0).alias("zeros"),
     )
-    # One distinct per query level: three in one aggregate would expand every row three times.
-    distinct = {
-        "n_days": df.select(DATE).distinct().agg(F.count(DATE)),
-        "n_stores": df.select(STORE).distinct().agg(F.count(STORE)),
-        "n_products": df.select(PRODUCT).distinct().agg(F.count(PRODUCT)),
-    }
-    return one_pass.withColumns({name: counted.scalar() for name, counted in distinct.items()})
+    days = df.select(DATE).distinct().agg(F.count(DATE)).scalar()
+    return per_series.agg(
+        F.min("first").alias("min_date"),
+        F.max("last").alias("max_date"),
+        F.coalesce(F.sum("zeros") / F.sum("n"), F.lit(0.0)).alias("zero_demand_rate"),
+        F.count_distinct(STORE).alias("n_stores"),
+        F.count_distinct(PRODUCT).alias("n_products"),
+    ).withColumn("n_days", days)
 
 
 def rows_per_key(df: DataFrame, key: str, n: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneloom.operators.scaling import join_same
+from paneloom.operators.scaling import join_same, settle
 from paneloom.plans.specs import (
     AGGREGATIONS,
     COMPARATORS,
@@ -74,7 +74,7 @@ def _foreign(items: Column, allowed: Sequence[str]) -> Column:
 
 def _schema_error(keys: Column) -> Column:
     """First broken rule of the spec's own form, or NULL."""
-    s = lambda name: F.col(f"s.{name}")
+    s = lambda name: F.col(f"__s_{name}")
     is_op = lambda *names: s("operation").isin(*names)
     name = F.lower(F.btrim(s("feature_name")))
     extra = F.lit(False)
@@ -129,7 +129,7 @@ def _schema_error(keys: Column) -> Column:
 
 def _needed_columns() -> Column:
     """All columns a spec reads, once each."""
-    s = lambda name: F.col(f"s.{name}")
+    s = lambda name: F.col(f"__s_{name}")
     series = F.array(*[F.lit(k) for k in SERIES])
     windowed = s("operation").isin("lag_feature", "rolling_feature")
     sources = F.array(*[s(c) for c in ("source_column", *[c for p in _PAIRS.values() for c in p], "interact_with_column")])
@@ -152,17 +152,23 @@ def audit_plan(
     """
     text = F.btrim("spec")
     is_object = F.coalesce(text.startswith("{") & F.json_object_keys(text).isNotNull(), F.lit(False))
-    parsed = specs.withColumns(
-        {"s": F.when(is_object, F.from_json(text, _SCHEMA)), "__keys": F.json_object_keys(text)}
+    # A generator parses each text once; as a plain column the parse would be repeated per field.
+    fields = F.inline_outer(F.array(F.from_json(text, _SCHEMA)))
+    parsed = specs.select(
+        "index",
+        is_object.alias("__object"),
+        F.json_object_keys(text).alias("__keys"),
+        fields.alias(*[f"__s_{f.name}" for f in _SCHEMA.fields]),
     )
-    given = F.lower(F.btrim(F.col("s.feature_name")))
+    is_object = F.col("__object")
+    given = F.lower(F.btrim("__s_feature_name"))
     named = F.when(given != "", given).otherwise(F.concat(F.lit("spec_"), F.col("index").cast("string")))
     names = lambda values: F.array(*[F.lit(str(v).lower()) for v in values]).cast("array<string>")
     missing = F.array_except(_needed_columns(), F.array(*[F.lit(c) for c in available]).cast("array<string>"))
     checked = parsed.select(
         "index",
         F.coalesce(named, F.concat(F.lit("spec_"), F.col("index").cast("string"))).alias("feature_name"),
-        F.when(is_object, F.coalesce("s.operation", F.lit("None"))).otherwise(F.lit("unknown")).alias("operation"),
+        F.when(is_object, F.coalesce("__s_operation", F.lit("None"))).otherwise(F.lit("unknown")).alias("operation"),
         F.when(~is_object, F.lit("Spec item is not a JSON object"))
         .otherwise(_schema_error(F.col("__keys")))
         .alias("form_error"),
@@ -173,6 +179,7 @@ def audit_plan(
             "exists": F.array_contains(names(existing), F.col("feature_name")),
         }
     )
+    checked = settle(checked)  # read twice below, and the parse is the costly part
     passes = F.col("form_error").isNull() & ~F.col("blocked") & ~F.col("exists") & (F.col("missing") == "")
     owners = checked.where(passes).groupBy("feature_name").agg(F.min("index").alias("owner"))
     later = F.col("exists") | F.coalesce(F.col("index") > F.col("owner"), F.lit(False))
