@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paneloom.functions.scalars import as_double
 from paneloom.operators.matrix import Matrix, model_matrix, training_medians
@@ -162,13 +161,18 @@ def score_per_product(
     """Add `prediction` from the product's own model, or from the overall one."""
     overall = models.where(F.col(PRODUCT).isNull())
     own = models.where(F.col(PRODUCT).isNotNull()).select(PRODUCT, "intercept", "coefficients")
-    values = F.array(*[F.coalesce(as_double(df, c), F.lit(medians[c])) for c in columns])
-    joined = join_same(df.withColumn("__x", values), own, [PRODUCT], "left")
-    weights = F.coalesce("coefficients", overall.select("coefficients").scalar())
-    intercept = F.coalesce("intercept", overall.select("intercept").scalar())
-    products = F.zip_with("__x", weights, lambda a, b: a * b)
-    prediction = intercept + F.aggregate(products, F.lit(0.0), lambda total, term: total + term)
-    return joined.withColumn("prediction", prediction).drop("__x", "intercept", "coefficients")
+    joined = join_same(df, own, [PRODUCT], "left").withColumns(
+        {
+            "__weights": F.coalesce("coefficients", overall.select("coefficients").scalar()),
+            "__level": F.coalesce("intercept", overall.select("intercept").scalar()),
+        }
+    )
+    terms = [
+        F.get("__weights", F.lit(i)) * F.coalesce(as_double(df, c), F.lit(medians[c])) for i, c in enumerate(columns)
+    ]
+    return joined.withColumn("prediction", sum(terms, F.col("__level"))).drop(
+        "__weights", "__level", "intercept", "coefficients"
+    )
 
 
 # Search ranges (low, high, logarithmic) of the two families.
@@ -252,15 +256,8 @@ def tune_models(
     }
     schema = "model_name string, trial_number int, state string, objective_value double, params map<string,string>, is_best boolean"
     rows = [(*t, best.get(t[0]) == t[1]) for t in trials]
-    return (
-        df_of(frame, rows, schema)
-        .withColumn("params_json", F.to_json("params"))
-        .drop("params")
-    )
-
-
-def df_of(like: DataFrame, rows: list, schema: str | T.StructType) -> DataFrame:
-    return like.sparkSession.createDataFrame(rows, schema)
+    table = frame.sparkSession.createDataFrame(rows, schema)
+    return table.withColumn("params_json", F.to_json("params")).drop("params")
 
 
 def matrix_of(df: DataFrame, **options: Any) -> Matrix:
