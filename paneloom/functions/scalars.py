@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from paneloom.schema import FALSE_TEXTS, TRUE_TEXTS, PanelError
 
 WHITESPACE = " \t\n\r\x0b\x0c"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 
 
 def stripped(column: Column) -> Column:
@@ -23,8 +24,8 @@ def as_double(df: DataFrame, name: str) -> Column:
     value = F.col(name)
     if isinstance(kind, T.StringType):
         text = stripped(value)
-        # The cast would accept Java suffixes such as "1d".
-        value = F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
+        # The pattern keeps out Java suffixes such as "1d", and spares an exception per bad text.
+        value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     elif not isinstance(kind, T.DoubleType):
         value = value.cast("double")
     if isinstance(kind, (T.StringType, T.FloatType, T.DoubleType)):

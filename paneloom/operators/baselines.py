@@ -6,18 +6,17 @@ has no history yet, the forecast is the median target over the history splits.
 
 from __future__ import annotations
 
-from bisect import insort
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paneloom.functions.scalars import as_double
+from paneloom.operators.expanding import add_expanding_median
 from paneloom.operators.quantiles import exact_medians
+from paneloom.operators.scaling import has_large_group
 from paneloom.operators.windows import Lookback, add_lookbacks, lag_of, rolling_of
-from paneloom.schema import DATE, PANEL_KEY, SERIES, UNITS, PanelError, require_columns
+from paneloom.schema import PANEL_KEY, SERIES, UNITS, PanelError, require_columns
 
 BASELINES = ("naive_last", "seasonal_naive_7", "rolling_mean_7", "rolling_mean_28", "median_expanding")
 
@@ -25,20 +24,6 @@ _ROLLING = {"rolling_mean_7": 7, "rolling_mean_28": 28}
 _EXPANDING = "median_expanding"
 
 
-def _expanding_median(rows: pd.DataFrame) -> pd.DataFrame:
-    """Median of all earlier rows of one series, kept in a sorted list."""
-    rows = rows.sort_values(DATE, kind="stable")
-    seen: list[float] = []
-    medians: list[float | None] = []
-    for value in rows["actual"]:
-        size = len(seen)
-        medians.append((seen[(size - 1) // 2] + seen[size // 2]) / 2 if size else None)
-        if pd.notna(value):
-            insort(seen, value)
-    rows["__median"] = pd.array(medians, dtype="Float64")
-    return rows
-
-
 def _with_forecasts(df: DataFrame, names: Sequence[str], split: bool | None) -> DataFrame:
     lookbacks: dict[str, Lookback] = {}
     if {"naive_last", "seasonal_naive_7"} & set(names):
@@ -49,13 +34,8 @@ def _with_forecasts(df: DataFrame, names: Sequence[str], split: bool | None) ->
         if name in _ROLLING:
             lookbacks[f"__{name}"] = rolling_of("actual", _ROLLING[name], "mean", min_rows=1)
     frame = add_lookbacks(df, lookbacks, split=split)
-    if _EXPANDING in names:
-        # A median of everything so far has no bounded look-back, and recomputing it per row is
-        # quadratic. The panel has one row per day and series, so one series fits a task, which
-        # here follows the exchange and sort the windows already made.
-        schema = T.StructType(frame.schema.fields + [T.StructField("__median", T.DoubleType())])
-        frame = frame.groupBy(*SERIES).applyInPandas(_expanding_median, schema)
-    return frame
+    # Last, so that it follows the exchange and sort of the windows.
+    return add_expanding_median(frame, "actual", "__median", split=split) if _EXPANDING in names else frame
 
 
 def _forecast(name: str) -> Column:
@@ -87,6 +67,8 @@ def baseline_suite(
     fallback = F.when(F.col("split") == "validation", medians.select("validation").scalar()).otherwise(
         medians.select("test").scalar()
     )
+    if split is None:
+        split = has_large_group(panel, SERIES)
     scored = _with_forecasts(panel, names, split).where(F.col("split").isin("validation", "test"))
     wide = scored.select(
         *PANEL_KEY, "split", "actual", *[F.coalesce(_forecast(n), fallback, F.lit(0.0)).alias(n) for n in names]

@@ -80,3 +80,14 @@ def test_split_features_in_one_exchange(spark):
     executed = df._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange") == 1, executed
     assert executed.count("Sort ") <= 1, plan
+
+
+@pytest.mark.parametrize("chunk_rows", [37, 400])
+def test_chunked_expanding_median_equals_the_plain_one(skewed, chunk_rows):
+    from paneloom.operators.expanding import add_expanding_median
+
+    wide = skewed.withColumn("x", F.when(F.col("seq") % 11 == 3, F.col("x") * 1000 + F.col("seq")).otherwise(F.col("x")))
+    plain = add_expanding_median(wide, "x", "m", tiebreak=["seq"], split=False)
+    cut = add_expanding_median(wide, "x", "m", tiebreak=["seq"], split=True, chunk_rows=chunk_rows)
+    assert cut.columns == plain.columns and cut.count() == skewed.count()
+    assert plain.exceptAll(cut).isEmpty() and cut.exceptAll(plain).isEmpty()
