@@ -293,7 +293,7 @@ def _cleaning() -> dict[str, str]:
         "validation_report": query(RAW, "SELECT " + ", ".join(f"COUNT(*) FILTER ({sql}) AS {name}" for name, sql in bad.items()) + " FROM raw"),
         "drop_exact_duplicates": query(RAW, 'SELECT DISTINCT day AS "Sale Date", branch AS "Branch", sku, quantity AS "QuantitySold", price AS "unit-price", promo AS "Promo", discount AS discount_pct, weather AS "Weather" FROM raw'),
         "canonical_sort": query(PANEL, f"SELECT {KEY}, units_sold, price FROM panel ORDER BY store_id, product_id, date"),
-        "data_summary": query(RAW, TYPED, "clean AS (SELECT DISTINCT * FROM typed)", f"""SELECT COUNT(*) AS total_row_count, 8::BIGINT AS total_column_count, MIN(date) AS min_date, MAX(date) AS max_date,
+        "data_summary": query(RAW, TYPED, "clean AS (SELECT DISTINCT * FROM typed)", f"""SELECT COUNT(*) AS total_row_count, 8::BIGINT AS total_column_count, 'discount,promotion,weather' AS optional_columns_detected, MIN(date) AS min_date, MAX(date) AS max_date,
   {r6("AVG(CASE WHEN units_sold = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)")} AS zero_demand_rate, {", ".join(f"COUNT(*) FILTER ({c} IS NULL) AS missing_{c}" for c in missing)},
   COUNT(DISTINCT store_id) AS number_of_stores, COUNT(DISTINCT product_id) AS number_of_products, (SELECT COUNT(*) FROM typed) - COUNT(*) AS duplicate_row_count_removed FROM clean"""),
         "clean_sales": query(RAW, TYPED, "SELECT DISTINCT * FROM typed"),

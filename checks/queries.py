@@ -258,7 +258,7 @@ def q_inventory_features(spark, folder):
 
 
 def q_exogenous_features(spark, folder):
-    made = features.exogenous_features(lazy_panel(spark, folder))
+    made = features.exogenous_features(panel(spark, folder))
     return made.select(
         *KEY, "competitor_price", "price_vs_competitor_abs", "price_vs_competitor_pct", "promotion", "holiday"
     )
@@ -312,7 +312,7 @@ PLAN = [LAG, ROLLING, RATIO, DIFFERENCE, INTERACTION, FLAG, CALENDAR, PRODUCT_LA
 
 
 def q_materialize_plan(spark, folder):
-    made, _ = materialize_plan(panel(spark, folder), [*PLAN, LagSpec("weather", "price", 1)], split=False)
+    made, _ = materialize_plan(panel(spark, folder), [*PLAN, LagSpec(LAG.name, "price", 1)], split=False)
     return rounded(made, ROLLING.name)
 
 

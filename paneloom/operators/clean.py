@@ -17,6 +17,7 @@ from paneloom.schema import (
     DATE,
     NUMERIC_OPTIONAL,
     NUMERIC_REQUIRED,
+    OPTIONAL_COLUMNS,
     PRICE,
     PRODUCT,
     STORE,
@@ -144,6 +145,7 @@ def data_summary(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.sum("zeros") / F.sum("n"), F.lit(0.0)).alias("zero_demand_rate"),
         F.count_distinct(STORE).alias("number_of_stores"),
         F.count_distinct(PRODUCT).alias("number_of_products"),
+        F.lit(",".join(sorted(set(OPTIONAL_COLUMNS) & set(df.columns)))).alias("optional_columns_detected"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in nulls],
     )
     before = raw.agg(F.count(F.lit(1))).scalar() if raw is not None else F.col("total_row_count")

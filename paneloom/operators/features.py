@@ -113,13 +113,15 @@ def _inventory_derived(fallback: Column) -> dict[str, Column]:
 
 
 def inventory_features(
-    df: DataFrame, split: bool | None = None, fallback_from: DataFrame | None = None
+    df: DataFrame, split: bool | None = None, fallback_from: DataFrame | None = None, check: bool = True
 ) -> DataFrame:
-    """Low-stock flag and stock-out proxy.
+    """Low-stock flag and stock-out proxy; with `check`, a missing stock level is an error.
 
     Where fewer than 7 of the prior 28 rows are known the threshold is half the median over the
     whole table, later dates included; pass the training rows as `fallback_from` to avoid that.
     """
+    if check:
+        _check_numeric(df, ["inventory_level"])
     source = df if fallback_from is None else fallback_from
     median = exact_medians(source, ["inventory_level"], split=split).scalar()
     return (
@@ -129,9 +131,14 @@ def inventory_features(
     )
 
 
-def exogenous_features(df: DataFrame) -> DataFrame:
-    """Price against the competitor, and promotion and holiday as 1.0 / 0.0 / NULL."""
+def exogenous_features(df: DataFrame, check: bool = True) -> DataFrame:
+    """Price against the competitor, and promotion and holiday as 1.0 / 0.0 / NULL.
+
+    With `check`, a missing competitor price is an error.
+    """
     if "competitor_price" in df.columns:
+        if check:
+            _check_numeric(df, ["competitor_price"])
         rival = as_double(df, "competitor_price")
         gap = F.col(PRICE) - rival
         df = df.withColumns(
@@ -198,7 +205,7 @@ def manual_features(
     if stocked:
         median = exact_medians(frame, ["inventory_level"], split=split).scalar()
         result = result.withColumns(_inventory_derived(median))
-    result = exogenous_features(result)
+    result = exogenous_features(result, check=False)
     if "weather" in df.columns:
         result = weather_code(result, split=split)
     features = result.select(*dict.fromkeys([*BASE_COLUMNS, *generated_columns(df)]))

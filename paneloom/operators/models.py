@@ -16,7 +16,7 @@ from paneloom.functions.scalars import as_double
 from paneloom.operators.matrix import Matrix, model_matrix, training_medians
 from paneloom.operators.metrics import metric_name, metric_value, prediction_frame
 from paneloom.operators.scaling import join_same, settle
-from paneloom.schema import DATE, PRODUCT, STORE, UNITS, PanelError
+from paneloom.schema import DATE, PANEL_KEY, PRODUCT, STORE, UNITS, PanelError
 
 # Default rounds, rate and sampling of the two tree families.
 FAMILIES: dict[str, dict[str, Any]] = {
@@ -261,6 +261,14 @@ def tune_models(
 
 
 def matrix_of(df: DataFrame, **options: Any) -> Matrix:
-    """`model_matrix` with its rows computed once, for several fits on it."""
+    """`model_matrix` with the columns fits and scores need, computed once.
+
+    Boosting passes over the rows hundreds of times, so a table of fewer partitions than there are
+    cores is spread over all of them.
+    """
     matrix = model_matrix(df, **options)
-    return Matrix(settle(matrix.frame), matrix.columns, matrix.medians, matrix.target, matrix.excluded)
+    frame = settle(matrix.frame.select(*PANEL_KEY, matrix.target, "split", "features"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() < cores:
+        frame = settle(frame.repartition(cores))
+    return Matrix(frame, matrix.columns, matrix.medians, matrix.target, matrix.excluded)

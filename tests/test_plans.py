@@ -48,11 +48,11 @@ def test_every_kind_of_spec(source):
 
 
 def test_collisions_and_empty_sources_are_left_out(source):
-    df = source.withColumn("discount", F.lit(None).cast("double"))
-    specs = [LagSpec("inventory_level", "price", 1), DifferenceSpec("gap", "price", "discount"), LagSpec("ok", "price", 1), LagSpec("ok", "price", 2)]
+    df = source.withColumns({"discount": F.lit(None).cast("double"), "shelf": F.lit(1)})
+    specs = [LagSpec("shelf", "price", 1), DifferenceSpec("gap", "price", "discount"), LagSpec("fine", "price", 1), LagSpec("fine", "price", 2)]
     made, rejected = materialize_plan(df, specs)
-    assert made.columns == [*BASE_COLUMNS, "ok"]
-    assert [(r["feature_name"], r["reason"].split()[0]) for r in rejected.collect()] == [("inventory_level", "feature"), ("gap", "Column"), ("ok", "feature")]
+    assert made.columns == [*BASE_COLUMNS, "fine"]
+    assert [(r["feature_name"], r["reason"].split()[0]) for r in rejected.collect()] == [("shelf", "feature"), ("gap", "Column"), ("fine", "feature")]
 
 
 def test_planned_features_do_not_look_ahead(source):
@@ -74,15 +74,17 @@ def test_partial_group_order(spark):
 
 def test_spec_bounds():
     for make in (
-        lambda: LagSpec("x", "units_sold", 0),
-        lambda: LagSpec("x", "weather", 1),
-        lambda: LagSpec("x", "price", 1, ()),
-        lambda: RollingSpec("x", "price", 1, "mean", 1),
-        lambda: RollingSpec("x", "price", 7, "median", 1),
-        lambda: RatioSpec("x", "price", "price"),
-        lambda: DifferenceSpec("x", "units_sold", "price"),
-        lambda: BinaryFlagSpec("x", "price", "gt", 1.0, 2.0, 2.0),
-        lambda: CalendarSpec("x", "season"),
+        lambda: LagSpec("x", "units_sold", 1),
+        lambda: LagSpec("price_lag_1", "units_sold", 1),
+        lambda: LagSpec("xyz", "units_sold", 0),
+        lambda: LagSpec("xyz", "weather", 1),
+        lambda: LagSpec("xyz", "price", 1, ()),
+        lambda: RollingSpec("xyz", "price", 1, "mean", 1),
+        lambda: RollingSpec("xyz", "price", 7, "median", 1),
+        lambda: RatioSpec("xyz", "price", "price"),
+        lambda: DifferenceSpec("xyz", "units_sold", "price"),
+        lambda: BinaryFlagSpec("xyz", "price", "gt", 1.0, 2.0, 2.0),
+        lambda: CalendarSpec("xyz", "season"),
     ):
         with pytest.raises(PanelError):
             make()
