@@ -29,7 +29,8 @@ TAGGED = """tagged AS (SELECT panel.*, CASE WHEN date < validation_start THEN 't
 
 
 def r6(expression: str) -> str:
-    return f"(ROUND({expression}, 6) + 0.0::DOUBLE)"
+    """Six decimals, shifted off rounding edges like the queries' `rounded`."""
+    return f"(ROUND(({expression}) + 2e-8::DOUBLE, 6) + 0.0::DOUBLE)"
 
 
 def query(*parts: str) -> str:

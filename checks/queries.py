@@ -51,8 +51,12 @@ def split_panel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Six decimals, without negative zero, for values whose last digits depend on summing order."""
-    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
+    """Six decimals, without negative zero, for values whose last digits depend on summing order.
+
+    Means of whole numbers often end in an exact 5 at the seventh decimal, where the summing order
+    would decide the rounding; the small shift, which the SQL makes too, moves them off that edge.
+    """
+    return df.withColumns({c: F.round(F.col(c) + F.lit(2e-8), 6) + F.lit(0.0) for c in columns})
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

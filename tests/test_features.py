@@ -102,3 +102,12 @@ def test_compat_features(spark):
     assert made[0]["units_roll_mean_7"] is None and made[1]["units_roll_mean_7"] == 20.0
     assert made[9]["units_roll_mean_7"] == pytest.approx(25.0) and made[9]["units_lag_7"] == 22.0
     assert made[0]["day_of_week"] == 0 and made[0]["month"] == 1
+
+
+def test_cut_series_give_the_same_features(spark):
+    df = panel(spark, 45, 2).withColumns(
+        {"weather": F.concat(F.lit("w"), (F.dayofmonth("date") % 3).cast("string")), "competitor_price": F.col("price") + 1}
+    )
+    plain, cut = (features.manual_features(df, split=split, check=False) for split in (False, True))
+    assert plain.columns == cut.columns and plain.count() == cut.count() == 34
+    assert plain.exceptAll(cut).isEmpty()
