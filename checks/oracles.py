@@ -29,8 +29,12 @@ TAGGED = """tagged AS (SELECT panel.*, CASE WHEN date < validation_start THEN 't
 
 
 def r6(expression: str) -> str:
-    """Six decimals, shifted off rounding edges like the queries' `rounded`."""
-    return f"(ROUND(({expression}) + 2e-8::DOUBLE, 6) + 0.0::DOUBLE)"
+    return f"(ROUND({expression}, 6) + 0.0::DOUBLE)"
+
+
+def r6_metric(expression: str) -> str:
+    """Six decimals, shifted off rounding edges like the queries' `rounded_metrics`."""
+    return f"ROUND(({expression}) + 2e-8::DOUBLE, 6)"
 
 
 def query(*parts: str) -> str:
@@ -152,10 +156,10 @@ PREDICTED = (
     "predicted AS (SELECT *, prediction - actual AS prediction_error, ABS(prediction - actual) AS prediction_abs_error FROM suite)",
 )
 METRICS = {
-    "mape": r6("AVG(CASE WHEN ABS(actual) > 1e-8 THEN ABS(prediction - actual) / ABS(actual) END) * 100"),
-    "wmape": r6("CASE WHEN SUM(ABS(actual)) > 1e-8 THEN SUM(ABS(prediction - actual)) / SUM(ABS(actual)) ELSE AVG(ABS(prediction - actual)) END * 100"),
-    "mae": r6("AVG(ABS(prediction - actual))"),
-    "rmse": r6("SQRT(AVG((prediction - actual) * (prediction - actual)))"),
+    "mape": r6_metric("AVG(CASE WHEN ABS(actual) > 1e-8 THEN ABS(prediction - actual) / ABS(actual) END) * 100"),
+    "wmape": r6_metric("CASE WHEN SUM(ABS(actual)) > 1e-8 THEN SUM(ABS(prediction - actual)) / SUM(ABS(actual)) ELSE AVG(ABS(prediction - actual)) END * 100"),
+    "mae": r6_metric("AVG(ABS(prediction - actual))"),
+    "rmse": r6_metric("SQRT(AVG((prediction - actual) * (prediction - actual)))"),
 }
 MEASURED = f"measured AS (SELECT split, model_name, model_family, COUNT(*) AS n_obs, {columns(METRICS)} FROM predicted GROUP BY 1, 2, 3)"
 SEGMENTED = f"segmented AS (SELECT split, model_name, model_family, 'product_id=' || product_id AS segment_key, COUNT(*) AS n_obs, {columns(METRICS)} FROM predicted GROUP BY 1, 2, 3, 4)"

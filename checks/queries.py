@@ -35,6 +35,7 @@ from paneloom.sources.tables import export_forecasts, read_price_plan, read_sale
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = list(PANEL_KEY)
+METRIC_COLUMNS = ("mape", "wmape", "mae", "rmse")
 ROUNDS = 10  # boosting rounds of the registered tree queries; the library default is 300
 
 
@@ -51,12 +52,17 @@ def split_panel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Six decimals, without negative zero, for values whose last digits depend on summing order.
+    """Six decimals, without negative zero, for values whose last digits depend on summing order."""
+    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
+
+
+def rounded_metrics(df: DataFrame) -> DataFrame:
+    """Metrics to six decimals.
 
-    Means of whole numbers often end in an exact 5 at the seventh decimal, where the summing order
+    Means of rounded errors often end in an exact 5 at the seventh decimal, where the summing order
     would decide the rounding; the small shift, which the SQL makes too, moves them off that edge.
     """
-    return df.withColumns({c: F.round(F.col(c) + F.lit(2e-8), 6) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + F.lit(2e-8), 6) for c in METRIC_COLUMNS})
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -384,19 +390,16 @@ def q_prediction_frame(spark, folder):
     return rounded(predictions(spark, folder), "prediction_error", "prediction_abs_error")
 
 
-METRIC_COLUMNS = ("mape", "wmape", "mae", "rmse")
-
-
 def q_forecast_metrics(spark, folder):
-    return rounded(metrics.forecast_metrics(predictions(spark, folder)), *METRIC_COLUMNS)
+    return rounded_metrics(metrics.forecast_metrics(predictions(spark, folder)))
 
 
 def q_segment_metrics(spark, folder):
-    return rounded(metrics.segment_metrics(predictions(spark, folder)), *METRIC_COLUMNS)
+    return rounded_metrics(metrics.segment_metrics(predictions(spark, folder)))
 
 
 def _split_metrics(spark, folder) -> tuple[DataFrame, DataFrame]:
-    found = settle(rounded(metrics.forecast_metrics(predictions(spark, folder)), *METRIC_COLUMNS))
+    found = settle(rounded_metrics(metrics.forecast_metrics(predictions(spark, folder))))
     return found.where(F.col("split") == "validation"), found.where(F.col("split") == "test")
 
 
@@ -407,8 +410,8 @@ def q_best_model(spark, folder):
 
 def q_best_model_registry(spark, folder):
     predicted = settle(predictions(spark, folder))
-    overall = rounded(metrics.forecast_metrics(predicted), *METRIC_COLUMNS)
-    segments = rounded(metrics.segment_metrics(predicted), *METRIC_COLUMNS)
+    overall = rounded_metrics(metrics.forecast_metrics(predicted))
+    segments = rounded_metrics(metrics.segment_metrics(predicted))
     return metrics.best_model_registry(
         overall.where(F.col("split") == "validation"), overall.where(F.col("split") == "test"), segments
     )
@@ -420,7 +423,7 @@ def q_forecast_leaderboard(spark, folder):
 
 
 def q_segment_extremes(spark, folder):
-    segments = rounded(metrics.segment_metrics(predictions(spark, folder)), *METRIC_COLUMNS)
+    segments = rounded_metrics(metrics.segment_metrics(predictions(spark, folder)))
     return metrics.segment_extremes(segments, "median_expanding")
 
 
@@ -429,7 +432,7 @@ def q_error_histogram(spark, folder):
 
 
 def q_model_comparison(spark, folder):
-    found = rounded(metrics.forecast_metrics(predictions(spark, folder)), *METRIC_COLUMNS)
+    found = rounded_metrics(metrics.forecast_metrics(predictions(spark, folder)))
     return metrics.model_comparison(found)
 
 
