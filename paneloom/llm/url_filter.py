@@ -77,9 +77,8 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return found
 
 
-def _ngrams(text: Column, tag: str) -> Column:
-    """Tagged n-grams of the text between two marks; each n-gram costs its own length only."""
-    chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
+def _ngrams(chars: Column, tag: str) -> Column:
+    """Tagged n-grams of an array of characters; each n-gram costs its own length only."""
 
     def of_size(n: int) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0)))
@@ -89,10 +88,13 @@ def _ngrams(text: Column, tag: str) -> Column:
 
 
 def _features(df: DataFrame, host: str, path: str, output: str) -> DataFrame:
-    words = fresh(df, "ngrams")
-    grams = F.concat(_ngrams(F.col(host), "h:"), _ngrams(F.col(path), "p:"))
-    hashed = HashingTF(inputCol=words, outputCol=output, numFeatures=HASHED_FEATURES, binary=True)
-    return hashed.transform(df.withColumn(words, grams)).drop(words)
+    """Adds the hashed n-grams of host and path, each between two marks."""
+    words, of_host, of_path = (fresh(df, n) for n in ("ngrams", "host_chars", "path_chars"))
+    marked = {of_host: F.col(host), of_path: F.col(path)}
+    # Characters are columns of their own step: inside a lambda the split would be made again for each n-gram.
+    rows = df.withColumns({name: F.split(F.concat(F.lit("^"), text, F.lit("$")), "") for name, text in marked.items()})
+    rows = rows.withColumn(words, F.concat(_ngrams(F.col(of_host), "h:"), _ngrams(F.col(of_path), "p:"))).drop(of_host, of_path)
+    return HashingTF(inputCol=words, outputCol=output, numFeatures=HASHED_FEATURES, binary=True).transform(rows).drop(words)
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
