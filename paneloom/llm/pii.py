@@ -187,12 +187,13 @@ _VALUES = {
 
 def training_texts(spark: SparkSession) -> DataFrame:
     """The built-in labelled table (text, kind, personal), a few hundred rows; each text holds one value."""
-    tables = []
+    rows = []
     for (kind, personal), values in _VALUES.items():
-        frames = (*_PERSONAL[kind], *(("and {} then",) if personal else ())) if personal else _OTHER
-        text = F.explode(F.array(*[F.lit(f.format(v)) for f in frames for v in values])).alias("text")
-        tables.append(spark.range(1).select(text, F.lit(kind).alias("kind"), F.lit(float(personal)).alias("personal")))
-    return reduce(DataFrame.union, tables)
+        frames = (*_PERSONAL[kind], "and {} then") if personal else _OTHER
+        rows += [F.lit(f"{kind}\t{personal}\t{frame.format(value)}") for frame in frames for value in values]
+    parts = F.split(F.col("row"), "\t")
+    table = spark.range(1).select(F.explode(F.array(*rows)).alias("row"))
+    return table.select(parts[2].alias("text"), parts[0].alias("kind"), parts[1].cast("double").alias("personal"))
 
 
 def train_pii_model(labelled: DataFrame, precision: float = 0.98) -> tuple[GBTClassificationModel, dict[str, float]]:
@@ -201,10 +202,10 @@ def train_pii_model(labelled: DataFrame, precision: float = 0.98) -> tuple[GBTCl
     A threshold is the lowest score at which at least `precision` of the kind's held-out candidates
     (every fifth text by hash) are personal; a kind without such a score gets 1, which selects none.
     """
-    rows = with_candidates(labelled.coalesce(1), F.col("text"), "found").select("text", "kind", "personal", F.explode("found").alias("c"))
+    rows = with_candidates(save(labelled.coalesce(1)), F.col("text"), "found").select("text", "kind", "personal", F.explode("found").alias("c"))
     rows = rows.where(F.col("c.kind") == F.col("kind")).select("text", "kind", "personal", array_to_vector("c.f").alias("features"))
     rows = save(rows.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(5)) == 0))
-    model = GBTClassifier(labelCol="personal", featuresCol="features", maxIter=12, maxDepth=3, seed=7).fit(rows.where("NOT held"))
+    model = GBTClassifier(labelCol="personal", featuresCol="features", maxIter=10, maxDepth=3, seed=7).fit(rows.where("NOT held"))
     score = vector_to_array(F.col("probability"))[1]
     scored = model.transform(rows.where("held")).select("kind", score.alias("score"), "personal").collect()
     thresholds = {}

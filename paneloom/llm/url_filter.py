@@ -6,7 +6,6 @@ Native: DataFrame functions and Spark ML only.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -14,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm.tables import fresh
+from paneloom.llm.tables import fresh, save
 
 # The rules of the registered query (fixed values).
 RULES = (
@@ -100,28 +99,20 @@ def _features(df: DataFrame, host: str, path: str, output: str) -> DataFrame:
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The built-in labelled table: (url, blocked 0.0 or 1.0), a few hundred rows."""
 
-    def cross(hosts, paths, label):
-        host = F.explode(F.array(*map(F.lit, hosts))).alias("host")
-        path = F.explode(F.array(*map(F.lit, paths))).alias("path")
-        pairs = spark.range(1).select(host).select("host", path)
-        return pairs.select(F.concat(F.lit("https://"), "host", "path").alias("url"), F.lit(label).alias("blocked"))
-
-    return reduce(
-        DataFrame.union,
-        [
-            cross(BLOCKED_HOSTS, PATHS, 1.0),
-            cross(ALLOWED_HOSTS, PATHS, 0.0),
-            cross(ALLOWED_HOSTS[:6], BLOCKED_PATHS, 1.0),
-            cross(ALLOWED_HOSTS, ALLOWED_PATHS, 0.0),
-        ],
+    parts = (
+        (BLOCKED_HOSTS, PATHS, 1), (ALLOWED_HOSTS, PATHS, 0), (ALLOWED_HOSTS[:6], BLOCKED_PATHS, 1), (ALLOWED_HOSTS, ALLOWED_PATHS, 0)
     )
+    rows = [F.lit(f"{label} https://{host}{path}") for hosts, paths, label in parts for host in hosts for path in paths]
+    row = F.split(F.col("row"), " ")
+    table = spark.range(1).select(F.explode(F.array(*rows)).alias("row"))
+    return table.select(row[1].alias("url"), row[0].cast("double").alias("blocked"))
 
 
 def train_url_model(labelled: DataFrame) -> LogisticRegressionModel:
     """Logistic regression with an L2 penalty; the table must be small (url, blocked)."""
     host, path = url_parts(F.col("url"))
-    parts = labelled.select(host.alias("host"), path.alias("path"), "blocked").coalesce(1)
-    fit = LogisticRegression(labelCol="blocked", featuresCol="features", regParam=0.01, maxIter=50, standardization=False)
+    parts = save(labelled.select(host.alias("host"), path.alias("path"), "blocked").coalesce(1))
+    fit = LogisticRegression(labelCol="blocked", featuresCol="features", regParam=0.01, maxIter=30, standardization=False)
     return fit.fit(_features(parts, "host", "path", "features"))
 
 
