@@ -6,7 +6,7 @@ expression, so every text is read once in a narrow projection and nothing is shu
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -221,13 +221,20 @@ def train_pii_model(labelled: DataFrame, precision: float = 0.98) -> tuple[GBTCl
     return model, thresholds
 
 
+@lru_cache(maxsize=1)
+def _built_in_model(application: str) -> tuple[GBTClassificationModel, dict[str, float]]:
+    """The model of the built-in table, trained once for each Spark application."""
+    return train_pii_model(training_texts(SparkSession.active()))
+
+
 def with_spans(docs: DataFrame, name: str, text_column: str = "text", labelled: DataFrame | None = None) -> DataFrame:
     """Adds column `name`: the sorted array of (begin, number of the kind, end, base) of a text.
 
     A candidate counts if it passes its base pattern's checks, or if it scores at least the
     threshold of its kind and overlaps no base span. Null texts count as empty. Row by row: no shuffle.
     """
-    model, thresholds = train_pii_model(labelled if labelled is not None else training_texts(docs.sparkSession))
+    application = docs.sparkSession.sparkContext.applicationId
+    model, thresholds = train_pii_model(labelled) if labelled is not None else _built_in_model(application)
     found = fresh(docs, f"{name}_found")
     rows = with_candidates(docs, F.coalesce(F.col(text_column), F.lit("")), found)
 
