@@ -23,13 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a session that runs in one process may do without that setting: it gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
+        master = context.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="paneloom-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/paneloom-llm/{uuid.uuid4().hex}"
 
 
