@@ -37,6 +37,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

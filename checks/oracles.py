@@ -307,7 +307,7 @@ def _cleaning() -> dict[str, str]:
         "safe_log": from_panel({"log_units": r6("LN(units_sold + 0.001::DOUBLE)"), "log_discount": r6("LN(discount + 0.001::DOUBLE)")}),
         "read_sales": from_panel("units_sold", "price", {"promotion": "promotion = 'yes'"}),
         "read_price_plan": query(PANEL, FUTURE),
-        "write_table": query(PANEL, CUTOFFS, TAGGED, f"SELECT {KEY}, units_sold, price, split FROM tagged WHERE split = 'test'"),
+        "write_table": query(PANEL, CUTOFFS, TAGGED, f"SELECT {KEY}, units_sold, price, split FROM tagged"),
         "export_forecasts": query(PANEL, CUTOFFS, TAGGED, "SELECT COUNT(*) AS row_count, 4::BIGINT AS column_count, 'date,store_id,product_id,forecast_units' AS columns FROM tagged WHERE split = 'test'"),
     }
 
@@ -406,7 +406,7 @@ def _matrix() -> dict[str, str]:
     )
     filled = ", ".join(f"COALESCE({c}, {median(c)}) AS {{}}{c}" for c in ("discount", "inventory_level"))
     return {
-        "encode_identifiers": query(PANEL, CUTOFFS, TAGGED.replace("tagged AS (", "everything AS ("), "tagged AS (SELECT * FROM everything WHERE split <> 'train' OR store_id <> 'ASIA')", codes("tagged"), f"SELECT {KEY}, {code('store_id')}, {code('product_id')} FROM tagged"),
+        "encode_identifiers": query(PANEL, CUTOFFS, TAGGED.replace("tagged AS (", "everything AS ("), "tagged AS (SELECT * FROM everything UNION ALL SELECT * REPLACE ('UNSEEN' AS store_id) FROM everything WHERE split = 'test')", codes("tagged"), f"SELECT {KEY}, {code('store_id')}, {code('product_id')} FROM tagged"),
         "select_features": query(PANEL, CUTOFFS, TAGGED, f"SELECT * FROM ({judged}) WHERE reason IS NOT NULL"),
         "impute_medians": query(PANEL, CUTOFFS, TAGGED, GAPPY, f"SELECT {KEY}, split, {filled.format("", "")} FROM gappy"),
         "model_matrix": query(PANEL, CUTOFFS, TAGGED, GAPPY, codes("tagged"), f"SELECT {KEY}, price AS feature_price, {filled.format("feature_", "feature_")}, {code('store_id').replace('AS store', 'AS feature_store').replace('tagged.', 'gappy.')}, {code('product_id').replace('AS product', 'AS feature_product').replace('tagged.', 'gappy.')} FROM gappy"),
@@ -424,7 +424,7 @@ steps AS (SELECT recent.*, CAST(last + CAST(h AS INTEGER) AS DATE) AS date FROM
 stats AS (SELECT product_id, COUNT(discount) >= 2 AND VAR_POP(discount) > 0 AS ud, COUNT(inventory_level) >= 2 AND VAR_POP(inventory_level) > 0 AS ui, QUANTILE_CONT(discount, 0.5) AS md, QUANTILE_CONT(inventory_level, 0.5) AS mi FROM numbers GROUP BY 1)"""
     gappy_panel = GAPPY.replace("FROM tagged", "FROM panel")
     product_x = f"{PANEL}, {LOGGED}, rows AS (SELECT *, discount AS x FROM logged), {residuals('rows')}"
-    series_x = f"{PANEL}, {LOGGED_SERIES}, {guardrails(420, 0.45)}, rows AS (SELECT logged.*, discount AS x FROM logged JOIN guarded USING (segment_key) WHERE is_valid), {residuals('rows')}, {DML}"
+    series_x = f"{PANEL}, {LOGGED_SERIES}, {guardrails(250, 0.01)}, rows AS (SELECT logged.*, discount AS x FROM logged JOIN guarded USING (segment_key) WHERE is_valid), {residuals('rows')}, {DML}"
     quality = lambda q: f"COUNT(*) FILTER (quality_status = '{q}')"
     fit = lambda s: f"COUNT(*) FILTER (fit_status = '{s}')"
     warned = f"GREATEST(CAST(SUM(inference_warning_count) AS BIGINT), {quality('warning_inference_unstable')})"
@@ -432,11 +432,11 @@ stats AS (SELECT product_id, COUNT(discount) >= 2 AND VAR_POP(discount) > 0 AS u
     return {
         "loglog_elasticity": query(PANEL, LOGLOG, f"SELECT store_id, product_id, {r6('intercept')} AS intercept, {r6('price_elasticity')} AS price_elasticity, {r6('r_squared')} AS r_squared, n_observations FROM loglog WHERE n_observations >= 8"),
         "price_plan_forecast": query(scenario, f"""SELECT s.store_id, s.product_id, s.date, {r6(f'GREATEST({demand}, 0)')} AS forecast_units, {r6('base')} AS baseline_units, {r6('COALESCE(f.price, ref)')} AS planned_price, {r6('ref')} AS reference_price, {r6('COALESCE(e.price_elasticity, -1.0::DOUBLE)')} AS applied_elasticity
-FROM steps s LEFT JOIN plan f ON f.store_id = s.store_id AND f.product_id = s.product_id AND f.date = s.date LEFT JOIN loglog e ON e.store_id = s.store_id AND e.product_id = s.product_id AND e.store_id <> 'ASIA' AND e.n_observations >= 8"""),
+FROM steps s LEFT JOIN plan f ON f.store_id = s.store_id AND f.product_id = s.product_id AND f.date = s.date LEFT JOIN loglog e ON e.store_id = s.store_id AND e.product_id = s.product_id AND e.n_observations >= 8"""),
         "validate_price_plan": query(PANEL, f"plan AS ({FUTURE})", "SELECT COUNT(*) AS plan_rows, COUNT(*) FILTER (store_id = 'ASIA') AS invalid_dates, COUNT(*) FILTER (product_id = 'Brand#11') AS invalid_prices FROM plan"),
         "log_treatment": query(PANEL, LOGGED, f"SELECT {KEY}, {r6('y_log')} AS y_log, {r6('t_log')} AS t_log FROM logged"),
         "segment_key": query(PANEL, "SELECT 'store_id=' || store_id || '|product_id=' || product_id AS segment_key, COUNT(*) AS n_rows FROM panel GROUP BY 1"),
-        "segment_guardrails": query(PANEL, LOGGED_SERIES, guardrails(420, 0.45), "SELECT * FROM guarded"),
+        "segment_guardrails": query(PANEL, LOGGED_SERIES, guardrails(250, 0.01), "SELECT * FROM guarded"),
         "segment_controls": query(PANEL, gappy_panel, controls, f"SELECT {KEY}, CASE WHEN ud THEN COALESCE(discount, md) ELSE 0 END AS discount, CASE WHEN ui THEN COALESCE(inventory_level, mi) ELSE 0 END AS inventory_level, CAST(ud AS BIGINT) + CAST(ui AS BIGINT) AS controls_used FROM numbers JOIN stats USING (product_id)"),
         "cross_fit_residuals": query(product_x, f"SELECT {KEY}, fold, {r6('y_res')} AS y_res, {r6('t_res')} AS t_res FROM resid"),
         "dml_elasticity": query(product_x, DML, f"SELECT segment_key, n_rows, {r6('est')} AS elasticity_estimate, {r6('lo')} AS lower_ci, {r6('hi')} AS upper_ci, 0::BIGINT AS inference_warning_count FROM dml"),

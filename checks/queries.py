@@ -7,7 +7,6 @@ why the window operators are told not to look for oversized groups (`split=False
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from paneloom.functions import scalars
 from paneloom.operators import baselines, clean, dml, elasticity, explore, features, matrix, metrics, models, split, windows
-from paneloom.operators.scaling import settle
+from paneloom.operators.scaling import settle, shared_folder
 from paneloom.plans.audit import audit_plan
 from paneloom.plans.materialize import materialize_plan, merge_planned_features
 from paneloom.plans.specs import (
@@ -36,7 +35,6 @@ from paneloom.sources.tables import export_forecasts, read_price_plan, read_sale
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = list(PANEL_KEY)
 METRIC_COLUMNS = ("mape", "wmape", "mae", "rmse")
-ROUNDS = 10  # boosting rounds of the registered tree queries; the library default is 300
 
 
 def lazy_panel(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,8 +69,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def output_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared one the session names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paneloom-")
-    return f"{base.rstrip('/')}/paneloom-{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark).rstrip('/')}/paneloom-{uuid.uuid4().hex}/{name}"
 
 
 # ---------------------------------------------------------------- raw sales texts
@@ -178,7 +175,7 @@ def q_read_price_plan(spark, folder):
 def q_write_table(spark, folder):
     tagged = split_panel(spark, folder)
     path = write_table(tagged.select(*BASE_COLUMNS, "split"), output_folder(spark, "panel.parquet"), partition_by="split")
-    return read_sales(spark, path).where(F.col("split") == "test")
+    return read_sales(spark, path)
 
 
 def q_export_forecasts(spark, folder):
@@ -462,9 +459,9 @@ def model_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_encode_identifiers(spark, folder):
     tagged = split_panel(spark, folder)
-    # Drop one store's training rows so that unseen ids occur.
-    partial = tagged.where((F.col("split") != "train") | (F.col("store_id") != "ASIA"))
-    coded = matrix.encode_identifiers(partial, split=False)
+    # The test rows once more under a store that training doesn't know, so that unseen ids occur.
+    unseen = tagged.where(F.col("split") == "test").withColumn("store_id", F.lit("UNSEEN"))
+    coded = matrix.encode_identifiers(tagged.unionByName(unseen), split=False)
     return coded.select(*KEY, "store_id_encoded", "product_id_encoded")
 
 
@@ -509,7 +506,7 @@ def q_model_matrix(spark, folder):
 def _tree_query(train: Callable, name: str) -> Query:
     def query(spark, folder):
         made = models.matrix_of(model_frame(spark, folder), split=False)
-        fitted = train(made, {"maxIter": ROUNDS})
+        fitted = train(made)
         return metrics.forecast_metrics(models.score(made, fitted, name, "trees"))
 
     return query
@@ -530,7 +527,7 @@ def q_tune_models(spark, folder):
 
 def q_forecast_next(spark, folder):
     made = models.matrix_of(split_panel(spark, folder), split=False)
-    return models.forecast_next(made, models.train_gbt(made, {"maxIter": ROUNDS}), "gbt", "trees")
+    return models.forecast_next(made, models.train_gbt(made), "gbt", "trees")
 
 
 # ---------------------------------------------------------------- elasticity and scenarios
@@ -543,7 +540,7 @@ def q_loglog_elasticity(spark, folder):
 
 def q_price_plan_forecast(spark, folder):
     base = panel(spark, folder)
-    fits = elasticity.loglog_elasticity(base).where(F.col("store_id") != "ASIA")
+    fits = elasticity.loglog_elasticity(base)
     forecast = elasticity.price_plan_forecast(base, fits, 14, plan=future_prices(base))
     return rounded(forecast, "forecast_units", "baseline_units", "planned_price", "reference_price", "applied_elasticity")
 
@@ -575,7 +572,7 @@ GUARD_FIGURES = ("log_price_std", "log_units_std", "treatment_variance", "outcom
 
 
 def q_segment_guardrails(spark, folder):
-    found = elasticity.segment_guardrails(logged_panel(spark, folder, "store_product"), min_samples=420, min_price_std=0.45)
+    found = elasticity.segment_guardrails(logged_panel(spark, folder, "store_product"))
     return rounded(found, *GUARD_FIGURES)
 
 
@@ -606,7 +603,7 @@ def q_dml_elasticity(spark, folder):
 
 def q_elasticity_estimates(spark, folder):
     base = panel(spark, folder).select(*BASE_COLUMNS, "discount")
-    config = dml.ElasticityConfig(level="store_product", min_samples=420, min_price_std=0.45)
+    config = dml.ElasticityConfig(level="store_product")
     found = dml.elasticity_estimates(base, config, split=False)
     return rounded(found, "elasticity_estimate", "lower_ci", "upper_ci", *GUARD_FIGURES)
 

@@ -24,6 +24,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -7,6 +7,7 @@ weights are joined back to the rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
@@ -109,25 +110,19 @@ def select_controls(
     if kind not in ("lean", "full"):
         raise PanelError(f"Unsupported feature profile '{profile}'. Allowed values: full, lean")
     price = treatment.strip().lower()
+    planned = rf"(^|_){PLANNED_MARK}_|_{PLANNED_MARK}$"
+    proxies = rf"(?=.*{re.escape(price)}).*({'|'.join(map(re.escape, PROXY_PARTS))})" if price else r"(?!)"
+    # A name that one of these patterns finds is barred, unless the caller allows that kind.
+    barred = [r"^target_|future", proxies, *([] if include_planned else [planned]), *([] if allow_demand_forecast else ["^demand_forecast$"])]
+    bar = re.compile("|".join(f"(?:{p})" for p in barred))
+    store = re.compile("|".join([*(f"^{re.escape(n)}$" for n in STORE_INDICATORS), "^store_indicator_"]))
+    never = {*NEVER_CONTROLS, *extra_excluded}
 
-    def wanted(name: str) -> bool:
-        low = name.strip().lower()
-        planned = low.startswith(f"{PLANNED_MARK}_") or low.endswith(f"_{PLANNED_MARK}") or f"_{PLANNED_MARK}_" in low
-        indicator = low in STORE_INDICATORS or low.startswith("store_indicator_")
-        if name in NEVER_CONTROLS or name in extra_excluded:
-            return False
-        if low.startswith("target_") or "future" in low:
-            return False
-        if price and price in low and any(part in low for part in PROXY_PARTS):
-            return False
-        if planned and not include_planned:
-            return False
-        if low == "demand_forecast" and not allow_demand_forecast:
-            return False
-        return kind == "full" or name in LEAN_CONTROLS or (include_store_indicators and indicator)
-
-    numeric = (T.NumericType, T.BooleanType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, numeric) and wanted(f.name)]
+    usable = {f.name: f.name.strip().lower() for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))}
+    allowed = [name for name, low in usable.items() if name not in never and not bar.search(low)]
+    if kind == "full":
+        return allowed
+    return [n for n in allowed if n in LEAN_CONTROLS or (include_store_indicators and store.search(usable[n]))]
 
 
 def segment_controls(
@@ -194,7 +189,7 @@ def _inverse(matrix: np.ndarray) -> tuple[np.ndarray, int]:
 
 def _per_row(df: DataFrame, keys: list[str], solve: Callable, outputs: str) -> DataFrame:
     """One Python call per row of small arrays; key columns are passed through."""
-    schema = T.StructType([df.schema[k] for k in keys] + T._parse_datatype_string(outputs).fields)
+    schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(outputs).fields)
     names = schema.fieldNames()
 
     def run(batches):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import insort
 from collections.abc import Sequence
 
 import numpy as np
@@ -30,7 +29,7 @@ def add_expanding_median(
     """Add the median of the non-null values in all earlier rows of the group; NULL if there are none.
 
     Such a median has no bounded look-back, and a window would recompute it per row. A series of
-    ordinary size keeps a sorted list in one task. A larger one (see `add_lookbacks` for `split`) is
+    ordinary size is one group of a task. A larger one (see `add_lookbacks` for `split`) is
     cut into chunks of consecutive rows, which need only the earlier values near the middle.
     """
     if split is None:
@@ -42,14 +41,7 @@ def add_expanding_median(
 
     def running(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(by, kind="stable")
-        seen: list[float] = []
-        medians: list[float | None] = []
-        for value in rows[column]:
-            size = len(seen)
-            medians.append((seen[(size - 1) // 2] + seen[size // 2]) / 2 if size else None)
-            if pd.notna(value):
-                insort(seen, value)
-        rows[name] = pd.array(medians, dtype="Float64")
+        rows[name] = rows[column].astype("float64").expanding().median().shift(1)
         return rows
 
     return df.groupBy(*keys).applyInPandas(running, schema)

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A group up to this size is one comfortable task: sorted with spill, a few hundred MB at most.
 GROUP_ROW_LIMIT = 1_000_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, which the driver and all executors must share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage through the checkpoint folder of the session."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="paneloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -26,7 +26,7 @@ def sales_panel(spark: SparkSession, folder: str) -> DataFrame:
 
     regions = (
         table("nation")
-        .join(F.broadcast(table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", F.col("r_name").alias("store_id"))
     )
     suppliers = table("supplier").select("s_suppkey", "s_nationkey")
@@ -48,7 +48,7 @@ def sales_panel(spark: SparkSession, folder: str) -> DataFrame:
     return (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(F.broadcast(regions), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("date", "store_id", "product_id")
         .agg(
             F.sum("l_quantity").alias("units_sold"),

@@ -13,6 +13,7 @@ os.environ.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
 def spark():
     session = (
         SparkSession.builder.master("local[8]")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
