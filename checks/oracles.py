@@ -32,9 +32,13 @@ def r6(expression: str) -> str:
     return f"(ROUND({expression}, 6) + 0.0::DOUBLE)"
 
 
-def r6_metric(expression: str) -> str:
-    """Six decimals, shifted off rounding edges like the queries' `rounded_metrics`."""
-    return f"ROUND(({expression}) + 2e-8::DOUBLE, 6)"
+MILLIONTHS = "CAST(ROUND(ABS(prediction - actual) / 1e-6::DOUBLE) AS HUGEINT)"
+ACTUAL_MILLIONTHS = "CAST(ROUND(ABS(actual) / 1e-6::DOUBLE) AS HUGEINT)"
+BILLIONTHS = "CASE WHEN ABS(actual) > 1e-8 THEN CAST(ROUND(ABS(prediction - actual) / ABS(actual) / 1e-9::DOUBLE) AS HUGEINT) END"
+
+
+def exact_sum(units: str) -> str:
+    return f"CAST(SUM({units}) AS DOUBLE)"
 
 
 def query(*parts: str) -> str:
@@ -156,10 +160,10 @@ PREDICTED = (
     "predicted AS (SELECT *, prediction - actual AS prediction_error, ABS(prediction - actual) AS prediction_abs_error FROM suite)",
 )
 METRICS = {
-    "mape": r6_metric("AVG(CASE WHEN ABS(actual) > 1e-8 THEN ABS(prediction - actual) / ABS(actual) END) * 100"),
-    "wmape": r6_metric("CASE WHEN SUM(ABS(actual)) > 1e-8 THEN SUM(ABS(prediction - actual)) / SUM(ABS(actual)) ELSE AVG(ABS(prediction - actual)) END * 100"),
-    "mae": r6_metric("AVG(ABS(prediction - actual))"),
-    "rmse": r6_metric("SQRT(AVG((prediction - actual) * (prediction - actual)))"),
+    "mape": f"{exact_sum(BILLIONTHS)} / COUNT({BILLIONTHS}) / 1e9::DOUBLE * 100",
+    "wmape": f"CASE WHEN {exact_sum(ACTUAL_MILLIONTHS)} > 1e-2 THEN {exact_sum(MILLIONTHS)} / {exact_sum(ACTUAL_MILLIONTHS)} ELSE {exact_sum(MILLIONTHS)} / COUNT(*) / 1e6::DOUBLE END * 100",
+    "mae": f"{exact_sum(MILLIONTHS)} / COUNT(*) / 1e6::DOUBLE",
+    "rmse": r6(f"SQRT({exact_sum(f'{MILLIONTHS} * {MILLIONTHS}')} / COUNT(*)) / 1e6::DOUBLE"),
 }
 MEASURED = f"measured AS (SELECT split, model_name, model_family, COUNT(*) AS n_obs, {columns(METRICS)} FROM predicted GROUP BY 1, 2, 3)"
 SEGMENTED = f"segmented AS (SELECT split, model_name, model_family, 'product_id=' || product_id AS segment_key, COUNT(*) AS n_obs, {columns(METRICS)} FROM predicted GROUP BY 1, 2, 3, 4)"

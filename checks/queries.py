@@ -1,8 +1,7 @@
 """One query per operator, over the whole of the given tables.
 
 `lazy_panel` keeps the panel in the query's own plan; `panel` writes it once through the checkpoint
-folder, for queries that read it several times. Its series have one row per day at most, which is
-why the window operators are told not to look for oversized groups (`split=False`).
+folder, for queries that read it several times.
 """
 
 from __future__ import annotations
@@ -34,7 +33,6 @@ from paneloom.sources.tables import export_forecasts, read_price_plan, read_sale
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = list(PANEL_KEY)
-METRIC_COLUMNS = ("mape", "wmape", "mae", "rmse")
 
 
 def lazy_panel(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,12 +53,8 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def rounded_metrics(df: DataFrame) -> DataFrame:
-    """Metrics to six decimals.
-
-    Means of rounded errors often end in an exact 5 at the seventh decimal, where the summing order
-    would decide the rounding; the small shift, which the SQL makes too, moves them off that edge.
-    """
-    return df.withColumns({c: F.round(F.col(c) + F.lit(2e-8), 6) for c in METRIC_COLUMNS})
+    """The root to six decimals; the other metrics are quotients of exact sums and stay as they are."""
+    return rounded(df, "rmse")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -179,7 +173,7 @@ def q_write_table(spark, folder):
 
 
 def q_export_forecasts(spark, folder):
-    scored = baselines.baseline(split_panel(spark, folder), "naive_last", split=False)
+    scored = baselines.baseline(split_panel(spark, folder), "naive_last")
     forecasts = scored.where(F.col("split") == "test").select(*KEY, F.col("prediction").alias("forecast_units"))
     return export_forecasts(forecasts, output_folder(spark, "forecasts.csv"))
 
@@ -205,7 +199,7 @@ def q_split_integrity(spark, folder):
 
 def q_features_for_split(spark, folder):
     tagged = split_panel(spark, folder)
-    made = windows.group_lag(tagged.drop("split"), "units_sold", [1], "units_sold", split=False)
+    made = windows.group_lag(tagged.drop("split"), "units_sold", [1], "units_sold")
     kept = split.features_for_split(made, tagged.where(F.col("split") == "validation"))
     return kept.select(*KEY, "units_sold_lag_1")
 
@@ -231,13 +225,13 @@ def q_calendar_features(spark, folder):
 
 
 def q_group_lag(spark, folder):
-    made = windows.group_lag(lazy_panel(spark, folder), "units_sold", [1, 7, 14, 28], "units_sold", split=False)
+    made = windows.group_lag(lazy_panel(spark, folder), "units_sold", [1, 7, 14, 28], "units_sold")
     return made.select(*KEY, *[f"units_sold_lag_{k}" for k in (1, 7, 14, 28)])
 
 
 def q_shifted_rolling(spark, folder):
     stats = {7: ("mean", "std", "min", "max"), 14: ("mean",)}
-    made = windows.shifted_rolling(lazy_panel(spark, folder), "price", stats, "price", shift=2, split=False)
+    made = windows.shifted_rolling(lazy_panel(spark, folder), "price", stats, "price", shift=2)
     names = [f"price_roll_{s}_{w}" for w, ss in stats.items() for s in ss]
     return rounded(made.select(*KEY, *names), *[n for n in names if "mean" in n or "std" in n])
 
@@ -248,11 +242,11 @@ def _rounded_features(df: DataFrame) -> DataFrame:
 
 
 def q_demand_features(spark, folder):
-    return _rounded_features(features.demand_features(lazy_panel(spark, folder), split=False).select(*KEY, *DEMAND_FEATURES))
+    return _rounded_features(features.demand_features(lazy_panel(spark, folder)).select(*KEY, *DEMAND_FEATURES))
 
 
 def q_price_features(spark, folder):
-    return _rounded_features(features.price_features(lazy_panel(spark, folder), split=False).select(*KEY, *PRICE_FEATURES))
+    return _rounded_features(features.price_features(lazy_panel(spark, folder)).select(*KEY, *PRICE_FEATURES))
 
 
 def q_passthrough_features(spark, folder):
@@ -260,7 +254,7 @@ def q_passthrough_features(spark, folder):
 
 
 def q_inventory_features(spark, folder):
-    made = features.inventory_features(panel(spark, folder), split=False)
+    made = features.inventory_features(panel(spark, folder))
     return made.select(*KEY, "inventory_level", "low_inventory_flag", "stockout_proxy")
 
 
@@ -272,27 +266,27 @@ def q_exogenous_features(spark, folder):
 
 
 def q_weather_code(spark, folder):
-    return features.weather_code(panel(spark, folder), split=False).select(*KEY, "weather_code")
+    return features.weather_code(panel(spark, folder)).select(*KEY, "weather_code")
 
 
 def q_trim_warmup(spark, folder):
-    made = features.price_features(features.demand_features(lazy_panel(spark, folder), split=False), split=False)
+    made = features.price_features(features.demand_features(lazy_panel(spark, folder)))
     return features.trim_warmup(made, WARMUP_COLUMNS).select(*KEY, "units_sold")
 
 
 def q_manual_features(spark, folder):
-    return _rounded_features(features.manual_features(panel(spark, folder), split=False, check=False))
+    return _rounded_features(features.manual_features(panel(spark, folder), check=False))
 
 
 def q_create_features_compat(spark, folder):
-    made = features.create_features_compat(lazy_panel(spark, folder), split=False)
+    made = features.create_features_compat(lazy_panel(spark, folder))
     names = ["units_lag_1", "units_lag_7", "units_lag_14", "units_roll_mean_7", "log_units", "log_price", "day_of_week", "month"]
     return rounded(made.select(*KEY, *names), "units_roll_mean_7", "log_units", "log_price")
 
 
 def q_feature_summary(spark, folder):
     base = panel(spark, folder)
-    return features.feature_summary(base, features.manual_features(base, split=False, check=False))
+    return features.feature_summary(base, features.manual_features(base, check=False))
 
 
 # ---------------------------------------------------------------- declared features
@@ -300,7 +294,7 @@ def q_feature_summary(spark, folder):
 
 def _spec_query(spec, inexact: bool = False) -> Query:
     def query(spark, folder):
-        made, _ = materialize_plan(panel(spark, folder), [spec], split=False)
+        made, _ = materialize_plan(panel(spark, folder), [spec])
         kept = made.select(*KEY, spec.name)
         return rounded(kept, spec.name) if inexact else kept
 
@@ -319,7 +313,7 @@ PLAN = [LAG, ROLLING, RATIO, DIFFERENCE, INTERACTION, FLAG, CALENDAR, PRODUCT_LA
 
 
 def q_materialize_plan(spark, folder):
-    made, _ = materialize_plan(panel(spark, folder), [*PLAN, LagSpec(LAG.name, "price", 1)], split=False)
+    made, _ = materialize_plan(panel(spark, folder), [*PLAN, LagSpec(LAG.name, "price", 1)])
     return rounded(made, ROLLING.name)
 
 
@@ -357,7 +351,7 @@ def q_audit_plan(spark, folder):
 
 def q_merge_planned_features(spark, folder):
     base = panel(spark, folder)
-    made, _ = materialize_plan(base, [LAG, RATIO], split=False)
+    made, _ = materialize_plan(base, [LAG, RATIO])
     reruns = made.withColumn("run", F.lit(1)).unionByName(
         made.withColumn("run", F.lit(2)).withColumn(RATIO.name, F.col(RATIO.name) * 2.0).where(F.col("units_sold") > 50)
     )
@@ -369,18 +363,18 @@ def q_merge_planned_features(spark, folder):
 
 def _baseline_query(name: str) -> Query:
     def query(spark, folder):
-        return rounded(baselines.baseline(split_panel(spark, folder), name, split=False), "prediction")
+        return rounded(baselines.baseline(split_panel(spark, folder), name), "prediction")
 
     return query
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    suite = baselines.baseline_suite(split_panel(spark, folder), split=False)
+    suite = baselines.baseline_suite(split_panel(spark, folder))
     return metrics.prediction_frame(rounded(suite, "prediction"))
 
 
 def q_baseline_suite(spark, folder):
-    return rounded(baselines.baseline_suite(split_panel(spark, folder), split=False), "prediction")
+    return rounded(baselines.baseline_suite(split_panel(spark, folder)), "prediction")
 
 
 def q_prediction_frame(spark, folder):
@@ -454,14 +448,14 @@ def q_latest_models(spark, folder):
 
 def model_frame(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table, computed once."""
-    return settle(split.chronological_split(features.manual_features(panel(spark, folder), split=False, check=False)))
+    return settle(split.chronological_split(features.manual_features(panel(spark, folder), check=False)))
 
 
 def q_encode_identifiers(spark, folder):
     tagged = split_panel(spark, folder)
     # The test rows once more under a store that training doesn't know, so that unseen ids occur.
     unseen = tagged.where(F.col("split") == "test").withColumn("store_id", F.lit("UNSEEN"))
-    coded = matrix.encode_identifiers(tagged.unionByName(unseen), split=False)
+    coded = matrix.encode_identifiers(tagged.unionByName(unseen))
     return coded.select(*KEY, "store_id_encoded", "product_id_encoded")
 
 
@@ -489,7 +483,7 @@ def _gappy(df: DataFrame) -> DataFrame:
 
 
 def q_impute_medians(spark, folder):
-    filled = matrix.impute_medians(_gappy(split_panel(spark, folder)), ["discount", "inventory_level"], split=False)
+    filled = matrix.impute_medians(_gappy(split_panel(spark, folder)), ["discount", "inventory_level"])
     return filled.select(*KEY, "split", "discount", "inventory_level")
 
 
@@ -498,14 +492,14 @@ MATRIX_INPUTS = ("price", "discount", "inventory_level")
 
 def q_model_matrix(spark, folder):
     frame = _gappy(split_panel(spark, folder)).select(*KEY, "units_sold", "split", *MATRIX_INPUTS)
-    made = matrix.model_matrix(frame, split=False)
+    made = matrix.model_matrix(frame)
     values = vector_to_array("features")
     return made.frame.select(*KEY, *[values[i].alias(f"feature_{c}") for i, c in enumerate(made.columns)])
 
 
 def _tree_query(train: Callable, name: str) -> Query:
     def query(spark, folder):
-        made = models.matrix_of(model_frame(spark, folder), split=False)
+        made = models.matrix_of(model_frame(spark, folder))
         fitted = train(made)
         return metrics.forecast_metrics(models.score(made, fitted, name, "trees"))
 
@@ -513,20 +507,20 @@ def _tree_query(train: Callable, name: str) -> Query:
 
 
 def q_train_per_product(spark, folder):
-    fits = models.train_per_product(split_panel(spark, folder), ["price"], ridge=0.0, split=False)
+    fits = models.train_per_product(split_panel(spark, folder), ["price"], ridge=0.0)
     return rounded(
         fits.select("product_id", "n_rows", "intercept", F.col("coefficients")[0].alias("price_slope")), "intercept", "price_slope"
     )
 
 
 def q_tune_models(spark, folder):
-    made = matrix.model_matrix(split_panel(spark, folder), split=False)
+    made = matrix.model_matrix(split_panel(spark, folder))
     small = {"maxIter": (3, 6, False), "maxDepth": (3, 5, False)}
     return models.tune_models(made, n_trials=2, ranges=small)
 
 
 def q_forecast_next(spark, folder):
-    made = models.matrix_of(split_panel(spark, folder), split=False)
+    made = models.matrix_of(split_panel(spark, folder))
     return models.forecast_next(made, models.train_gbt(made), "gbt", "trees")
 
 
@@ -583,7 +577,7 @@ def q_segment_controls(spark, folder):
     gappy = _gappy(logged_panel(spark, folder)).withColumn(
         "inventory_level", F.when(F.col("product_id") == "Brand#11", 5.0).otherwise(F.col("inventory_level"))
     )
-    return dml.segment_controls(gappy, ["segment_key"], CONTROLS, split=False).select(*KEY, *CONTROLS, "controls_used")
+    return dml.segment_controls(gappy, ["segment_key"], CONTROLS).select(*KEY, *CONTROLS, "controls_used")
 
 
 def _residuals(spark, folder) -> DataFrame:
@@ -604,7 +598,7 @@ def q_dml_elasticity(spark, folder):
 def q_elasticity_estimates(spark, folder):
     base = panel(spark, folder).select(*BASE_COLUMNS, "discount")
     config = dml.ElasticityConfig(level="store_product")
-    found = dml.elasticity_estimates(base, config, split=False)
+    found = dml.elasticity_estimates(base, config)
     return rounded(found, "elasticity_estimate", "lower_ci", "upper_ci", *GUARD_FIGURES)
 
 
@@ -673,7 +667,7 @@ def q_column_histogram(spark, folder):
 
 
 def q_describe(spark, folder):
-    found = explore.describe(panel(spark, folder), ["units_sold", "price", "discount", "inventory_level"], split=False)
+    found = explore.describe(panel(spark, folder), ["units_sold", "price", "discount", "inventory_level"])
     return rounded(found, "mean", "std", "q25", "q50", "q75")
 
 

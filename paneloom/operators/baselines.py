@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from paneloom.functions.scalars import as_double
 from paneloom.operators.expanding import add_expanding_median
 from paneloom.operators.quantiles import exact_medians
-from paneloom.operators.scaling import has_large_group
 from paneloom.operators.windows import Lookback, add_lookbacks, lag_of, rolling_of
-from paneloom.schema import PANEL_KEY, SERIES, UNITS, PanelError, require_columns
+from paneloom.schema import PANEL_KEY, UNITS, PanelError, require_columns
 
 BASELINES = ("naive_last", "seasonal_naive_7", "rolling_mean_7", "rolling_mean_28", "median_expanding")
 
@@ -24,7 +23,7 @@ _ROLLING = {"rolling_mean_7": 7, "rolling_mean_28": 28}
 _EXPANDING = "median_expanding"
 
 
-def _with_forecasts(df: DataFrame, names: Sequence[str], split: bool | None) -> DataFrame:
+def _with_forecasts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     lookbacks: dict[str, Lookback] = {}
     if {"naive_last", "seasonal_naive_7"} & set(names):
         lookbacks["__lag_1"] = lag_of("actual", 1)
@@ -33,9 +32,9 @@ def _with_forecasts(df: DataFrame, names: Sequence[str], split: bool | None) ->
     for name in names:
         if name in _ROLLING:
             lookbacks[f"__{name}"] = rolling_of("actual", _ROLLING[name], "mean", min_rows=1)
-    frame = add_lookbacks(df, lookbacks, split=split)
+    frame = add_lookbacks(df, lookbacks)
     # Last, so that it follows the exchange and sort of the windows.
-    return add_expanding_median(frame, "actual", "__median", split=split) if _EXPANDING in names else frame
+    return add_expanding_median(frame, "actual", "__median") if _EXPANDING in names else frame
 
 
 def _forecast(name: str) -> Column:
@@ -47,7 +46,7 @@ def _forecast(name: str) -> Column:
 
 
 def baseline_suite(
-    df: DataFrame, target: str = UNITS, names: Sequence[str] = BASELINES, split: bool | None = None
+    df: DataFrame, target: str = UNITS, names: Sequence[str] = BASELINES
 ) -> DataFrame:
     """All baselines for the validation and test rows of a split-tagged panel, in long form.
 
@@ -63,13 +62,11 @@ def baseline_suite(
         "validation": F.when(F.col("split") == "train", F.col("actual")),
         "test": F.when(F.col("split").isin("train", "validation"), F.col("actual")),
     }
-    medians = exact_medians(panel.select(*[c.alias(n) for n, c in known.items()]), list(known), split=split)
+    medians = exact_medians(panel.select(*[c.alias(n) for n, c in known.items()]), list(known))
     fallback = F.when(F.col("split") == "validation", medians.select("validation").scalar()).otherwise(
         medians.select("test").scalar()
     )
-    if split is None:
-        split = has_large_group(panel, SERIES)
-    scored = _with_forecasts(panel, names, split).where(F.col("split").isin("validation", "test"))
+    scored = _with_forecasts(panel, names).where(F.col("split").isin("validation", "test"))
     wide = scored.select(
         *PANEL_KEY, "split", "actual", *[F.coalesce(_forecast(n), fallback, F.lit(0.0)).alias(n) for n in names]
     )
@@ -78,6 +75,6 @@ def baseline_suite(
     )
 
 
-def baseline(df: DataFrame, name: str, target: str = UNITS, split: bool | None = None) -> DataFrame:
+def baseline(df: DataFrame, name: str, target: str = UNITS) -> DataFrame:
     """One baseline, in the same long form."""
-    return baseline_suite(df, target, [name], split)
+    return baseline_suite(df, target, [name])

@@ -130,7 +130,6 @@ def segment_controls(
     keys: Sequence[str],
     controls: Sequence[str],
     scaled: bool = False,
-    split: bool | None = None,
 ) -> DataFrame:
     """Fill each control with its segment median; add `controls_used`.
 
@@ -144,7 +143,7 @@ def segment_controls(
     spread = typed.groupBy(*keys).agg(
         *[F.count(c).alias(f"__n_{c}") for c in controls], *[F.var_pop(c).alias(f"__v_{c}") for c in controls]
     )
-    middles = exact_medians(typed, controls, keys, split).withColumnsRenamed({c: f"__m_{c}" for c in controls})
+    middles = exact_medians(typed, controls, keys).withColumnsRenamed({c: f"__m_{c}" for c in controls})
     joined = join_same(typed, join_same(spread, middles, keys), keys)
     used = {c: (F.col(f"__n_{c}") >= 2) & (F.col(f"__v_{c}") > 0) for c in controls}
     filled = {c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in controls}
@@ -374,7 +373,7 @@ def dml_elasticity(
 
 
 def elasticity_estimates(
-    df: DataFrame, config: ElasticityConfig | None = None, split: bool | None = None
+    df: DataFrame, config: ElasticityConfig | None = None
 ) -> DataFrame:
     """Guardrails, fit and quality of every segment; a segment that cannot be fitted stays in."""
     config = config or ElasticityConfig()
@@ -406,7 +405,7 @@ def elasticity_estimates(
     incomplete = F.col("non_null_pair_count") < F.col("sample_size")
     usable = guards.where(F.col("is_valid") & ~incomplete).select(*keys)
     prepared = settle(
-        segment_controls(rows.join(usable, keys, "left_semi"), keys, controls, scaled=True, split=split)
+        segment_controls(rows.join(usable, keys, "left_semi"), keys, controls, scaled=True)
     )
     used = prepared.groupBy(*keys).agg(F.max("controls_used").alias("controls_used"))
     residuals = settle(

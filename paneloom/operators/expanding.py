@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneloom.operators.scaling import GROUP_ROW_LIMIT, has_large_group, join_same, settle, with_position
+from paneloom.operators.scaling import join_same, settle, with_position
+from paneloom.operators.windows import CHUNK_ROWS, is_series
 from paneloom.schema import DATE, SERIES
 
 _PIVOTS = 256
@@ -23,19 +24,16 @@ def add_expanding_median(
     keys: Sequence[str] = SERIES,
     order: Sequence[str] = (DATE,),
     tiebreak: Sequence[str] = (),
-    split: bool | None = None,
-    chunk_rows: int = GROUP_ROW_LIMIT,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add the median of the non-null values in all earlier rows of the group; NULL if there are none.
 
-    Such a median has no bounded look-back, and a window would recompute it per row. A series of
-    ordinary size is one group of a task. A larger one (see `add_lookbacks` for `split`) is
-    cut into chunks of consecutive rows, which need only the earlier values near the middle.
+    Such a median has no bounded look-back, and a window would recompute it per row. A series by
+    day is one group of a task. Other groups (see `add_lookbacks` for `chunk_rows`) are cut into
+    chunks of consecutive rows, which need only the earlier values near the middle.
     """
-    if split is None:
-        split = has_large_group(df, keys, chunk_rows)
-    if split:
-        return _chunked(df, column, name, list(keys), list(order), list(tiebreak), chunk_rows)
+    if chunk_rows is not None or not is_series(keys, order):
+        return _chunked(df, column, name, list(keys), list(order), list(tiebreak), chunk_rows or CHUNK_ROWS)
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
     by = [*order, *tiebreak]
 
@@ -50,7 +48,8 @@ def add_expanding_median(
 def _value_blocks(values: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Number the value ranges of each group; a range has about `size` distinct values at most."""
     blocks = values.withColumn("block", F.lit(0).cast("long"))
-    while has_large_group(blocks, [*keys, "block"], size):
+    full = lambda: blocks.groupBy(*keys, "block").count().where(F.col("count") > size)
+    while not full().isEmpty():
         blocks = settle(blocks)
         cell = [*keys, "block"]
         shares = [i / _PIVOTS for i in range(1, _PIVOTS)]

@@ -69,7 +69,7 @@ def error_histogram(
     return column_histogram(rows, "prediction_abs_error", bins)
 
 
-def describe(df: DataFrame, columns: Sequence[str], split: bool | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column."""
     columns = list(columns)
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])
@@ -81,5 +81,8 @@ def describe(df: DataFrame, columns: Sequence[str], split: bool | None = None) -
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    quartiles = exact_quantiles(long, {"q25": ("x", 0.25), "q50": ("x", 0.5), "q75": ("x", 0.75)}, ["column"], split)
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    row = exact_quantiles(df, {f"{c}_{name}": (c, q) for c in columns for name, q in shares.items()})
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}_{name}").alias(name) for name in shares]) for c in columns]
+    quartiles = row.select(F.inline(F.array(*cells)))
     return moments.join(quartiles, "column", "left")

@@ -52,8 +52,8 @@ def _demand_lookbacks() -> dict[str, Lookback]:
     return lag_features(UNITS, DEMAND_LAGS, UNITS) | rolling_features(UNITS, DEMAND_ROLLINGS, UNITS)
 
 
-def demand_features(df: DataFrame, split: bool | None = None) -> DataFrame:
-    return add_lookbacks(df, _demand_lookbacks(), split=split)
+def demand_features(df: DataFrame) -> DataFrame:
+    return add_lookbacks(df, _demand_lookbacks())
 
 
 def _price_lookbacks() -> dict[str, Lookback]:
@@ -74,8 +74,8 @@ def _price_derived() -> dict[str, Column]:
     }
 
 
-def price_features(df: DataFrame, split: bool | None = None) -> DataFrame:
-    return add_lookbacks(df, _price_lookbacks(), split=split).withColumns(_price_derived()).drop(_PRIOR_PRICE_28)
+def price_features(df: DataFrame) -> DataFrame:
+    return add_lookbacks(df, _price_lookbacks()).withColumns(_price_derived()).drop(_PRIOR_PRICE_28)
 
 
 def _passed_on(df: DataFrame) -> list[str]:
@@ -113,7 +113,7 @@ def _inventory_derived(fallback: Column) -> dict[str, Column]:
 
 
 def inventory_features(
-    df: DataFrame, split: bool | None = None, fallback_from: DataFrame | None = None, check: bool = True
+    df: DataFrame, fallback_from: DataFrame | None = None, check: bool = True
 ) -> DataFrame:
     """Low-stock flag and stock-out proxy; with `check`, a missing stock level is an error.
 
@@ -123,9 +123,9 @@ def inventory_features(
     if check:
         _check_numeric(df, ["inventory_level"])
     source = df if fallback_from is None else fallback_from
-    median = exact_medians(source, ["inventory_level"], split=split).scalar()
+    median = exact_medians(source, ["inventory_level"]).scalar()
     return (
-        add_lookbacks(df, _inventory_lookbacks(), split=split)
+        add_lookbacks(df, _inventory_lookbacks())
         .withColumns(_inventory_derived(median))
         .drop(_PRIOR_STOCK_28)
     )
@@ -152,11 +152,11 @@ def exogenous_features(df: DataFrame, check: bool = True) -> DataFrame:
     return df.withColumns(flags) if flags else df
 
 
-def weather_code(df: DataFrame, split: bool | None = None) -> DataFrame:
+def weather_code(df: DataFrame) -> DataFrame:
     """Rank of the trimmed lower-case weather text among all texts; NULL counts as `missing`."""
     text = F.coalesce(F.lower(stripped(F.col("weather"))), F.lit("missing"))
     keyed = df.withColumn("__weather", text)
-    return join_same(keyed, dense_codes(keyed, "__weather", "weather_code", split=split), ["__weather"], "left").drop(
+    return join_same(keyed, dense_codes(keyed, "__weather", "weather_code"), ["__weather"], "left").drop(
         "__weather"
     )
 
@@ -183,7 +183,7 @@ def generated_columns(df: DataFrame) -> list[str]:
 
 
 def manual_features(
-    df: DataFrame, drop_warmup: bool = True, split: bool | None = None, check: bool = True
+    df: DataFrame, drop_warmup: bool = True, check: bool = True
 ) -> DataFrame:
     """Base columns and every feature the present columns allow, without warm-up rows.
 
@@ -201,13 +201,13 @@ def manual_features(
     )
     stocked = "inventory_level" in df.columns
     lookbacks = _demand_lookbacks() | _price_lookbacks() | (_inventory_lookbacks() if stocked else {})
-    result = calendar_features(add_lookbacks(frame, lookbacks, split=split)).withColumns(_price_derived())
+    result = calendar_features(add_lookbacks(frame, lookbacks)).withColumns(_price_derived())
     if stocked:
-        median = exact_medians(frame, ["inventory_level"], split=split).scalar()
+        median = exact_medians(frame, ["inventory_level"]).scalar()
         result = result.withColumns(_inventory_derived(median))
     result = exogenous_features(result, check=False)
     if "weather" in df.columns:
-        result = weather_code(result, split=split)
+        result = weather_code(result)
     features = result.select(*dict.fromkeys([*BASE_COLUMNS, *generated_columns(df)]))
     if drop_warmup:
         features = trim_warmup(features)
@@ -217,14 +217,14 @@ def manual_features(
 
 
 def create_features_compat(
-    df: DataFrame, lags: Sequence[int] = (1, 7, 14), rolling_window: int = 7, split: bool | None = None
+    df: DataFrame, lags: Sequence[int] = (1, 7, 14), rolling_window: int = 7
 ) -> DataFrame:
     """Small feature set: demand lags, a rolling mean from one row on, logs, weekday and month."""
     if rolling_window <= 0:
         raise PanelError("rolling_window must be positive")
     lookbacks = {f"units_lag_{k}": lag_of(UNITS, k) for k in sorted({int(k) for k in lags if int(k) > 0})}
     lookbacks[f"units_roll_mean_{rolling_window}"] = rolling_of(UNITS, rolling_window, "mean", min_rows=1)
-    return add_lookbacks(df, lookbacks, split=split).withColumns(
+    return add_lookbacks(df, lookbacks).withColumns(
         {
             "log_units": F.log(F.col(UNITS) + 1.0),
             "log_price": F.log(PRICE),

@@ -35,16 +35,24 @@ def prediction_frame(
     )
 
 
+def _whole(value: Column, unit: float, digits: int) -> Column:
+    return F.round(value / unit).cast(f"decimal({digits},0)")
+
+
 def _metric_columns(eps: float) -> dict[str, Column]:
-    actual, prediction = F.col("actual"), F.col("prediction")
-    error = prediction - actual
-    size, magnitude = F.abs(error), F.abs(actual)
-    total = F.sum(magnitude)
+    """Errors are summed as whole millionths and ratios as whole billionths, so that no order of
+    summing, and no number of partitions, changes a metric."""
+    actual = F.col("actual")
+    size, magnitude = F.abs(F.col("prediction") - actual), F.abs(actual)
+    millionths = _whole(size, 1e-6, 19)
+    exact_sum = lambda units: F.sum(units).cast("double")
+    sizes, total, n = exact_sum(millionths), exact_sum(_whole(magnitude, 1e-6, 19)), F.count(millionths)
+    ratio = F.when(magnitude > eps, _whole(size / magnitude, 1e-9, 28))
     return {
-        "mape": F.avg(F.when(magnitude > eps, size / magnitude)) * 100.0,
-        "wmape": F.when(total > eps, F.sum(size) / total).otherwise(F.avg(size)) * 100.0,
-        "mae": F.avg(size),
-        "rmse": F.sqrt(F.avg(error * error)),
+        "mape": exact_sum(ratio) / F.count(ratio) / 1e9 * 100.0,
+        "wmape": F.when(total > eps * 1e6, sizes / total).otherwise(sizes / n / 1e6) * 100.0,
+        "mae": sizes / n / 1e6,
+        "rmse": F.sqrt(exact_sum(millionths * millionths) / n) / 1e6,
     }
 
 

@@ -18,6 +18,8 @@ from paneloom.operators.metrics import metric_name, metric_value, prediction_fra
 from paneloom.operators.scaling import join_same, settle
 from paneloom.schema import DATE, PANEL_KEY, PRODUCT, STORE, UNITS, PanelError
 
+FIT_PARTITIONS = 32
+
 # Default rounds, rate and sampling of the two tree families.
 FAMILIES: dict[str, dict[str, Any]] = {
     "gbt": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"},
@@ -87,7 +89,6 @@ def train_per_product(
     target: str = UNITS,
     min_rows: int = 5,
     ridge: float = 1e-6,
-    split: bool | None = None,
 ) -> DataFrame:
     """Linear model per product with at least `min_rows` training rows, and one over all rows.
 
@@ -98,7 +99,7 @@ def train_per_product(
     """
     columns = list(columns)
     train = df.where(F.col("split") == "train")
-    medians = training_medians(df, columns, split)
+    medians = training_medians(df, columns)
     filled = train.select(
         PRODUCT,
         as_double(df, target).alias("__y"),
@@ -260,15 +261,14 @@ def tune_models(
     return table.withColumn("params_json", F.to_json("params")).drop("params")
 
 
-def matrix_of(df: DataFrame, **options: Any) -> Matrix:
+def matrix_of(df: DataFrame, partitions: int = FIT_PARTITIONS, **options: Any) -> Matrix:
     """`model_matrix` with the columns fits and scores need, computed once.
 
-    Boosting passes over the rows hundreds of times, so a table of fewer partitions than there are
-    cores is spread over all of them.
+    Boosting samples rows by partition and position, so the rows are dealt by panel key to a given
+    number of partitions and sorted there: fits don't depend on the cluster's cores. Raise
+    `partitions` with the data, to some 128 MB each.
     """
     matrix = model_matrix(df, **options)
-    frame = settle(matrix.frame.select(*PANEL_KEY, matrix.target, "split", "features"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() < cores:
-        frame = settle(frame.repartition(cores))
+    dealt = matrix.frame.select(*PANEL_KEY, matrix.target, "split", "features").repartition(partitions, *PANEL_KEY)
+    frame = settle(dealt.sortWithinPartitions(*PANEL_KEY))
     return Matrix(frame, matrix.columns, matrix.medians, matrix.target, matrix.excluded)

@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.operators.scaling import GROUP_ROW_LIMIT, has_large_group, join_same, settle
+from paneloom.operators.scaling import join_same, settle
 
+# Rows of one group that the last step may sort in one task; fewer only means more narrowing passes.
+ROWS_PER_TASK = 1_000_000
 _PIVOTS = 256
 _ACCURACY = 10_000
 
@@ -17,130 +19,123 @@ def exact_quantiles(
     df: DataFrame,
     targets: Mapping[str, tuple[str, float]],
     keys: Sequence[str] = (),
-    split: bool | None = None,
-    limit: int = GROUP_ROW_LIMIT,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Interpolated quantiles {output: (column, q)}, one row per key.
+    """Interpolated quantiles {output: (column, q)}, one row per key; NULL where a column has no values.
 
-    Small groups use the exact `percentile` aggregate, whose state is the set of distinct values.
-    Above `limit` rows the two neighbouring values of each quantile are bracketed with mergeable
-    sketches until the bracket is small, and only the values inside it are gathered.
+    A quantile lies between the values of two ranks. Each rank has an open interval of values that
+    holds it and the number of rows below. While an interval holds more than `limit` rows, two pivots
+    of a mergeable sketch cut it and exact counts tell in which part the rank is, so a sketch can only
+    cost a pass, never change a result. A pivot itself may be the value, however many copies it has.
     """
-    if split is None:
-        split = has_large_group(df, keys, limit)
-    if split:
-        return _bracketed(df, dict(targets), list(keys), limit)
-    found = [F.percentile(column, q).alias(name) for name, (column, q) in targets.items()]
-    return df.groupBy(*keys).agg(*found) if keys else df.agg(*found)
+    own_names = {f"__key_{i}": k for i, k in enumerate(keys)}
+    df = df.withColumns({name: F.col(k) for name, k in own_names.items()}) if own_names else df
+    keys = list(own_names)
+    group, rank_key = [*keys, "column"], [*keys, "column", "rank"]
+    columns = sorted({column for column, _ in targets.values()})
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.select(*keys, F.explode(F.array(*cells)).alias("cell")).select(*keys, "cell.column", "cell.value")
+    values = long.where(F.col("value").isNotNull())
+
+    state = _pinned(_ranks(values.groupBy(*group).agg(F.count("value").alias("n")), targets, group), keys)
+    wide = F.col("found").isNull() & (F.col("inside") > limit)
+    while not state.where(wide).isEmpty():
+        state = _pinned(_narrow(values, state, rank_key, wide), keys)
+
+    copies = _inside(values, state.where(F.col("found").isNull()), group)
+    copies = copies.groupBy(*rank_key, "n", "below", "value").agg(F.count(F.lit(1)).alias("copies"))
+    upto = Window.partitionBy(*rank_key).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = copies.withColumn("end", F.col("below") + F.sum("copies").over(upto)).where(F.col("end") > F.col("rank"))
+    last_step = reached.groupBy(*rank_key, "n").agg(F.min("value").alias("found"))
+    ranked = state.where(F.col("found").isNotNull()).select(*rank_key, "n", "found").unionByName(last_step)
+
+    picked = []
+    for name, (column, q) in targets.items():
+        own, place = F.col("column") == column, F.lit(float(q)) * (F.col("n") - 1)
+        lower = F.max(F.when(own & (F.col("rank") == F.floor(place)), F.col("found")))
+        upper = F.max(F.when(own & (F.col("rank") == F.ceil(place)), F.col("found")))
+        share = F.max(F.when(own, place - F.floor(place)))
+        picked.append((lower + share * (upper - lower)).alias(name))
+    if not keys:
+        return ranked.agg(*picked)
+    # A key whose values are all NULL has no quantile but must stay.
+    found = join_same(df.select(*keys).distinct(), ranked.groupBy(*keys).agg(*picked), keys, "left")
+    return found.withColumnsRenamed(own_names)
 
 
 def exact_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str] = (),
-    split: bool | None = None,
-    limit: int = GROUP_ROW_LIMIT,
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), limit: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Median of each column, one row per key; columns keep their names."""
-    return exact_quantiles(df, {c: (c, 0.5) for c in columns}, keys, split, limit)
+    return exact_quantiles(df, {c: (c, 0.5) for c in columns}, keys, limit)
+
+
+def _ranks(counted: DataFrame, targets: Mapping[str, tuple[str, float]], group: list[str]) -> DataFrame:
+    """One row per (keys, column, rank) with an interval that holds all values."""
+    wanted = F.array().cast("array<bigint>")
+    for column in {c for c, _ in targets.values()}:
+        places = [F.lit(float(q)) * (F.col("n") - 1) for c, q in targets.values() if c == column]
+        ranks = F.array_distinct(F.array(*[end(p) for p in places for end in (F.floor, F.ceil)]))
+        wanted = F.when(F.col("column") == column, ranks).otherwise(wanted)
+    unknown = F.lit(None).cast("double")
+    return counted.select(*group, "n", F.explode(wanted).alias("rank")).withColumns(
+        {"lo": unknown, "hi": unknown, "below": F.lit(0).cast("long"), "inside": F.col("n"), "found": unknown}
+    )
 
 
-def _bracketed(
-    df: DataFrame, targets: dict[str, tuple[str, float]], keys: list[str], limit: int
-) -> DataFrame:
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"), F.col(column).cast("double").alias("value"))
-            for name, (column, q) in targets.items()
-        ]
-    )
-    long = (
-        df.select(*keys, F.explode(pairs).alias("pair"))
-        .select(*keys, "pair.name", "pair.q", "pair.value")
-        .where(F.col("value").isNotNull())
-    )
-    group = [*keys, "name"]
-    values = long.drop("q")
+def _pinned(state: DataFrame, keys: list[str]) -> DataFrame:
+    """The state computed once. Without keys it has two rows per output at most, so it is broadcast."""
+    return settle(state) if keys else F.broadcast(settle(state))
 
-    # One row per (keys, output): the wanted ranks lie in [lo, hi], with `below` values before lo.
-    state = long.groupBy(*group).agg(
-        F.first("q").alias("q"), F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    state = settle(state.withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")}))
-    place = F.col("q") * (F.col("n") - 1)
-    first, last = F.floor(place), F.ceil(place)
-    wide = (F.col("inside") > limit) & (F.col("lo") < F.col("hi"))
-    while not state.where(wide).isEmpty():
-        narrowed = settle(_narrow(values, state, group, wide, first, last))
-        stuck = narrowed.where(F.col("moved")).isEmpty()
-        state = narrowed.drop("moved")
-        if stuck:
-            break
-
-    copies = (
-        join_same(values, state, group)
-        .where(F.col("value").between(F.col("lo"), F.col("hi")))
-        .groupBy(*group, "q", "n", "below", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    upto = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = copies.withColumn("end", F.col("below") + F.sum("copies").over(upto))
-    start = F.col("end") - F.col("copies")
-    lower = F.max(F.when((start <= first) & (first < F.col("end")), F.col("value")))
-    upper = F.max(F.when((start <= last) & (last < F.col("end")), F.col("value")))
-    found = (
-        ranked.groupBy(*group, "q", "n")
-        .agg(lower.alias("lower"), upper.alias("upper"))
-        .withColumn("quantile", F.col("lower") + (place - first) * (F.col("upper") - F.col("lower")))
-    )
-    picked = [F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(name) for name in targets]
-    if not keys:
-        return found.agg(*picked)
-    # A key whose values are all NULL has no quantile but must stay.
-    return join_same(df.select(*keys).distinct(), found.groupBy(*keys).agg(*picked), keys, "left")
 
+def _inside(values: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
+    """The values in each rank's open interval."""
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    joined = join_same(values, state, group)
+    return joined.where((lo.isNull() | (value > lo)) & (hi.isNull() | (value < hi)))
 
-def _narrow(
-    values: DataFrame, state: DataFrame, group: list[str], wide: Column, first: Column, last: Column
-) -> DataFrame:
-    """Shrink the wide brackets by one sketch pass and one counting pass."""
-    candidates = join_same(values, state.where(wide), group).where(
-        F.col("value").between(F.col("lo"), F.col("hi"))
-    )
+
+def _narrow(values: DataFrame, state: DataFrame, rank_key: list[str], wide: Column) -> DataFrame:
+    """Cut the wide intervals by one sketch pass and one counting pass."""
+    group = rank_key[:-1]
     shares = [i / _PIVOTS for i in range(_PIVOTS + 1)]
-    sketches = candidates.groupBy(*group).agg(F.percentile_approx("value", shares, _ACCURACY).alias("pivots"))
     margin = 2.0 / _ACCURACY
-
-    def pivot(slot: Column) -> Column:
-        return F.get("pivots", F.greatest(F.lit(0), F.least(F.lit(_PIVOTS), slot)).cast("int"))
-
-    low = (first - F.col("below")) / F.col("inside") - margin
-    high = (last - F.col("below")) / F.col("inside") + margin
-    proposed = join_same(state, sketches, group).select(
-        *group,
-        F.greatest("lo", pivot(F.floor(low * _PIVOTS) - 1)).alias("new_lo"),
-        F.least("hi", pivot(F.ceil(high * _PIVOTS) + 1)).alias("new_hi"),
+    place = (F.col("rank") - F.col("below")) / F.col("inside")
+    first = F.greatest(F.lit(0), F.floor((place - margin) * _PIVOTS) - 1).cast("int")
+    last = F.least(F.lit(_PIVOTS), F.ceil((place + margin) * _PIVOTS) + 1).cast("int")
+    cut = (
+        _inside(values, state.where(wide), group)
+        .groupBy(*rank_key, "n", "lo", "hi", "below", "inside")
+        .agg(F.percentile_approx("value", shares, _ACCURACY).alias("pivots"))
+        .withColumns({"low": F.get("pivots", first), "high": F.get("pivots", last)})
+        .drop("pivots")
     )
-    counted = (
-        join_same(candidates, proposed, group)
-        .groupBy(*group, "new_lo", "new_hi")
+    cut = _pinned(cut, group[:-1])
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    parts = (
+        _inside(values, cut, group)
+        .groupBy(*rank_key, "n", "lo", "hi", "low", "high", "below", "inside")
         .agg(
-            F.count_if(F.col("value") < F.col("new_lo")).alias("skipped"),
-            F.count_if(F.col("value").between(F.col("new_lo"), F.col("new_hi"))).alias("kept"),
+            F.count_if(value < low).alias("under"),
+            F.count_if(value <= low).alias("upto_low"),
+            F.count_if(value < high).alias("before_high"),
+            F.count_if(value <= high).alias("upto_high"),
         )
     )
-    start = F.col("below") + F.col("skipped")
-    # The counts prove the bracket; one that missed or did not shrink is left as it is.
-    better = F.coalesce(
-        (start <= first) & (last < start + F.col("kept")) & (F.col("kept") < F.col("inside")), F.lit(False)
+    rank = F.col("rank") - F.col("below")
+    under, upto_low = F.col("under"), F.col("upto_low")
+    before_high, upto_high = F.greatest("before_high", upto_low), F.col("upto_high")
+    interval = lambda lo, hi, skipped, inside, found=None: F.struct(
+        lo.alias("lo"), hi.alias("hi"), (F.col("below") + skipped).alias("below"), inside.alias("inside"),
+        (F.lit(None).cast("double") if found is None else found).alias("found"),
     )
-    return join_same(state, counted, group, "left").select(
-        *group,
-        "q",
-        "n",
-        F.when(better, F.col("new_lo")).otherwise(F.col("lo")).alias("lo"),
-        F.when(better, F.col("new_hi")).otherwise(F.col("hi")).alias("hi"),
-        F.when(better, start).otherwise(F.col("below")).alias("below"),
-        F.when(better, F.col("kept")).otherwise(F.col("inside")).alias("inside"),
-        better.alias("moved"),
+    none = F.lit(0).cast("long")
+    moved = (
+        F.when(rank < under, interval(F.col("lo"), low, none, under))
+        .when(rank < upto_low, interval(low, low, under, none, low))
+        .when(rank < before_high, interval(low, high, upto_low, before_high - upto_low))
+        .when(rank < upto_high, interval(high, high, before_high, none, high))
+        .otherwise(interval(high, F.col("hi"), upto_high, F.col("inside") - upto_high))
     )
+    cuts = parts.select(*rank_key, "n", moved.alias("moved")).select(*rank_key, "n", "moved.*")
+    return state.where(~wide).unionByName(cuts.select(*state.columns))

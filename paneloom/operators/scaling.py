@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A group up to this size is one comfortable task: sorted with spill, a few hundred MB at most.
-GROUP_ROW_LIMIT = 1_000_000
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, which the driver and all executors must share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -28,12 +24,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_ROW_LIMIT) -> bool:
-    """Whether some key combination has more than `limit` rows (one map-side combined count)."""
-    sizes = df.groupBy(*keys).count() if keys else df.agg(F.count(F.lit(1)).alias("count"))
-    return not sizes.where(F.col("count") > limit).isEmpty()
-
-
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which two NULL keys count as equal; the left key columns are kept."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
@@ -84,20 +74,14 @@ def with_position(
     return placed.drop("__start", "__total")
 
 
-def dense_codes(
-    df: DataFrame, column: str, code: str, limit: int = GROUP_ROW_LIMIT, split: bool | None = None
-) -> DataFrame:
-    """Distinct non-null values with their 0-based rank in ascending order."""
+def dense_codes(df: DataFrame, column: str, code: str) -> DataFrame:
+    """Distinct non-null values with their 0-based rank in ascending order, from a distributed sort."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    if split is None:
-        split = values.count() > limit
-    if not split:
-        ranked = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1
-        return values.select(column, ranked.cast("double").alias(code))
     # The sorted ids carry their partition in the upper 31 bits and the offset in the lower 33.
     ordered = settle(values.orderBy(column).withColumn("__id", F.monotonically_increasing_id()))
     slot = F.shiftright("__id", 33)
     sizes = ordered.groupBy(slot.alias("__slot")).agg(F.count(F.lit(1)).alias("__n"))
+    # One row per partition of the sort.
     before = Window.partitionBy(F.lit(0)).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__slot", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     offset = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))

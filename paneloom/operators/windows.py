@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from paneloom.operators.scaling import GROUP_ROW_LIMIT, has_large_group, with_position
+from paneloom.operators.scaling import with_position
 from paneloom.schema import DATE, SERIES, PanelError
 
 STATISTICS = {
@@ -20,6 +20,15 @@ STATISTICS = {
 }
 
 
+# Consecutive rows of a cut group that one window sorts.
+CHUNK_ROWS = 1_000_000
+
+
+def is_series(keys: Sequence[str], order: Sequence[str]) -> bool:
+    """Whether the groups are single series by day, as declared, whatever their sizes."""
+    return set(SERIES) <= set(keys) and order[0] == DATE
+
+
 class Lookback(NamedTuple):
     """A window expression and the number of earlier rows it needs."""
 
@@ -59,27 +68,24 @@ def add_lookbacks(
     keys: Sequence[str] = SERIES,
     order: Sequence[str] = (DATE,),
     tiebreak: Sequence[str] = (),
-    split: bool | None = None,
-    chunk_rows: int = GROUP_ROW_LIMIT,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add look-back features per group of `keys`.
 
-    Groups of ordinary size take one exchange and one sort. Groups above `chunk_rows` are cut into
-    chunks of consecutive rows; each chunk also receives the last rows of the one before it, as many
-    as the longest look-back, so results are the same. `split=None` counts group sizes to decide,
-    False is for groups known to be small (a daily panel has one row per day and series), True
-    always cuts. Rows equal in `order` need `tiebreak` columns for a defined result.
+    The calendar bounds a group that is one series (`keys` hold its ids, `order` its days): it takes
+    one exchange and one sort. Any other group may hold the rows of many series and is cut into chunks
+    of `chunk_rows` consecutive rows; each chunk also receives the last rows of the one before it, as
+    many as the longest look-back, so results are the same. Giving `chunk_rows` cuts series too. Rows
+    equal in `order` need `tiebreak` columns for a defined result.
     """
     if not features:
         return df
-    if split is None:
-        split = has_large_group(df, keys, chunk_rows)
-    if not split:
+    if chunk_rows is None and is_series(keys, order):
         w = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
         return df.withColumns({name: f.build(w) for name, f in features.items()})
 
     reach = max(f.rows for f in features.values())
-    size = max(chunk_rows, reach)
+    size = max(chunk_rows or CHUNK_ROWS, reach)
     placed = with_position(df, keys, order, tiebreak, name="__position")
     chunk = F.floor(F.col("__position") / size)
     own = F.struct(chunk.alias("chunk"), F.lit(False).alias("halo"))
@@ -116,10 +122,9 @@ def group_lag(
     lags: Sequence[int],
     prefix: str,
     keys: Sequence[str] = SERIES,
-    split: bool | None = None,
 ) -> DataFrame:
     """Value `k` rows earlier in the group, for each distinct positive `k`."""
-    return add_lookbacks(df, lag_features(column, lags, prefix), keys, split=split)
+    return add_lookbacks(df, lag_features(column, lags, prefix), keys)
 
 
 def shifted_rolling(
@@ -129,7 +134,6 @@ def shifted_rolling(
     prefix: str,
     keys: Sequence[str] = SERIES,
     shift: int = 1,
-    split: bool | None = None,
 ) -> DataFrame:
     """Rolling mean, std, min or max over full windows that end `shift` rows ago."""
-    return add_lookbacks(df, rolling_features(column, windows, prefix, shift), keys, split=split)
+    return add_lookbacks(df, rolling_features(column, windows, prefix, shift), keys)

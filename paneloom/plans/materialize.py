@@ -25,7 +25,7 @@ _OPERATIONS = {
 
 
 def materialize_plan(
-    df: DataFrame, specs: Sequence[Spec], split: bool | None = None, date_first: bool = False
+    df: DataFrame, specs: Sequence[Spec], date_first: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Base columns plus one column per usable spec, and a table of the specs left out with reasons.
 
@@ -60,7 +60,7 @@ def materialize_plan(
     for (keys, order), members in groups.items():
         if date_first:
             order = (DATE, *[c for c in order if c != DATE])
-        frame = add_lookbacks(frame, {s.name: s.lookback(f"__{s.source}") for s in members}, keys, order, split=split)
+        frame = add_lookbacks(frame, {s.name: s.lookback(f"__{s.source}") for s in members}, keys, order)
     row_wise = {
         s.name: s.expression(lambda c: F.col(f"__{c}")) for s in usable if not isinstance(s, WindowSpecification)
     }

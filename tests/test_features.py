@@ -54,7 +54,7 @@ def test_no_feature_sees_its_own_or_a_later_day(spark):
 
 
 def test_zero_prices_give_no_ratio(spark):
-    made = features.price_features(panel(spark, 40).withColumn("price", F.lit(0.0)), split=False)
+    made = features.price_features(panel(spark, 40).withColumn("price", F.lit(0.0)))
     assert made.where("price_momentum_7 is not null or price_momentum_28 is not null").isEmpty()
 
 
@@ -105,9 +105,8 @@ def test_compat_features(spark):
 
 
 def test_cut_series_give_the_same_features(spark):
-    df = panel(spark, 45, 2).withColumns(
-        {"weather": F.concat(F.lit("w"), (F.dayofmonth("date") % 3).cast("string")), "competitor_price": F.col("price") + 1}
-    )
-    plain, cut = (features.manual_features(df, split=split, check=False) for split in (False, True))
-    assert plain.columns == cut.columns and plain.count() == cut.count() == 34
-    assert plain.exceptAll(cut).isEmpty()
+    df = panel(spark, 45, 2)
+    lookbacks = {**features._demand_lookbacks(), **features._price_lookbacks(), **features._inventory_lookbacks()}
+    plain, cut = (windows.add_lookbacks(df, lookbacks, chunk_rows=rows) for rows in (None, 40))
+    assert plain.columns == cut.columns and plain.count() == cut.count() == 90
+    assert plain.exceptAll(cut).isEmpty() and cut.exceptAll(plain).isEmpty()
