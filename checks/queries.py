@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.functions import scalars
-from paneloom.operators import baselines, clean, dml, elasticity, explore, features, matrix, metrics, models, split, windows
+from paneloom.operators import baselines, clean, dml, elasticity, explore, features, matrix, metrics, models, saved, split, windows
 from paneloom.operators.scaling import settle, shared_folder
-from paneloom.plans.audit import audit_plan
+from paneloom.plans.audit import audit_plan, plan_specs
 from paneloom.plans.materialize import materialize_plan, merge_planned_features
 from paneloom.plans.specs import (
     BinaryFlagSpec,
@@ -343,6 +343,14 @@ def proposed_specs(spark: SparkSession, folder: str) -> DataFrame:
     return events.select(F.col("event_id").alias("index"), F.to_json(spec).alias("spec"))
 
 
+def q_plan_specs(spark, folder):
+    """A plan of two specs per event."""
+    name = lambda text: F.struct(text.alias("feature_name"))
+    listed = F.array(name(F.col("event_type")), name(F.concat(F.lit("user_"), F.col("user_id").cast("string"))))
+    plans = table(spark, folder, "events").select("event_id", F.to_json(F.struct(listed.alias("specs"))).alias("payload"))
+    return plan_specs(plans)
+
+
 def q_audit_plan(spark, folder):
     return audit_plan(
         proposed_specs(spark, folder), [*BASE_COLUMNS, "discount", "inventory_level"], ["roll_7", "user_9"], ["roll_8", "ratio_3"]
@@ -513,6 +521,13 @@ def q_train_per_product(spark, folder):
     )
 
 
+def q_score_per_product(spark, folder):
+    tagged = split_panel(spark, folder)
+    fits = settle(models.train_per_product(tagged, ["price"], ridge=0.0))
+    scored = models.score_per_product(tagged, fits, ["price"], matrix.training_medians(tagged, ["price"]))
+    return rounded(scored.select(*KEY, "prediction"), "prediction")
+
+
 def q_tune_models(spark, folder):
     made = matrix.model_matrix(split_panel(spark, folder))
     small = {"maxIter": (3, 6, False), "maxDepth": (3, 5, False)}
@@ -520,8 +535,16 @@ def q_tune_models(spark, folder):
 
 
 def q_forecast_next(spark, folder):
-    made = models.matrix_of(split_panel(spark, folder))
-    return models.forecast_next(made, models.train_gbt(made), "gbt", "trees")
+    """Train, save, register, then forecast with the registry's winner read back."""
+    tagged = split_panel(spark, folder)
+    made = models.matrix_of(tagged)
+    fitted = models.train_gbt(made)
+    found = settle(metrics.forecast_metrics(models.score(made, fitted, "gbt", "trees")))
+    segments = metrics.segment_metrics(models.score(made, fitted, "gbt", "trees"))
+    of = lambda name: found.where(F.col("split") == name)
+    registry = metrics.best_model_registry(of("validation"), of("test"), segments)
+    runs = saved.save_model(made, fitted, "gbt", "trees", output_folder(spark, "gbt"), "2024-01-01T00:00:00")
+    return saved.forecast_registered(tagged, registry, runs)
 
 
 # ---------------------------------------------------------------- elasticity and scenarios
@@ -589,6 +612,17 @@ def q_cross_fit_residuals(spark, folder):
     return rounded(_residuals(spark, folder).select(*KEY, "fold", "y_res", "t_res"), "y_res", "t_res")
 
 
+def _tree_residuals(nuisance: str) -> Query:
+    def query(spark, folder):
+        made = dml.cross_fit_residuals(logged_panel(spark, folder), ["segment_key"], ["discount"], nuisance)
+        finite = lambda name: F.col(name).isNotNull() & ~F.isnan(name)
+        return made.groupBy("segment_key", "fold").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(finite("y_res") & finite("t_res")).alias("n_residuals")
+        )
+
+    return query
+
+
 def q_dml_elasticity(spark, folder):
     found = dml.dml_elasticity(settle(_residuals(spark, folder)), ["segment_key"], ["discount"])
     kept = found.select("segment_key", "n_rows", "elasticity_estimate", "lower_ci", "upper_ci", "inference_warning_count")
@@ -687,6 +721,12 @@ TREE_QUERIES = {
 }
 
 
+NUISANCE_QUERIES = {
+    "residuals_random_forest": _tree_residuals("random-forest"),
+    "residuals_gradient_boosting": _tree_residuals("gradient-boosting"),
+}
+
+
 def all_queries() -> dict[str, Query]:
     named = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
-    return {**named, **SPEC_QUERIES, **BASELINE_QUERIES, **TREE_QUERIES}
+    return {**named, **SPEC_QUERIES, **BASELINE_QUERIES, **TREE_QUERIES, **NUISANCE_QUERIES}

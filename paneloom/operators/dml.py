@@ -29,7 +29,7 @@ from paneloom.operators.elasticity import (
     segment_key,
 )
 from paneloom.operators.quantiles import exact_medians
-from paneloom.operators.scaling import dense_codes, join_same, settle, with_position
+from paneloom.operators.scaling import join_same, settle, with_position
 from paneloom.schema import BASE_COLUMNS, DATE, PRICE, PRODUCT, STORE, UNITS, PanelError, require_columns
 
 # The lean control set, names that are never controls, and name parts that mark
@@ -237,8 +237,8 @@ def cross_fit_residuals(
     """Add `fold`, `y_res` and `t_res`: y_log and t_log minus what the other fold predicts.
 
     The folds are the first and second half of the segment's rows in time. `linear` fits every
-    segment on its own. The tree options fit one pooled model per fold and target over all segments,
-    with the segment's rank as a further feature, so they differ from one forest per segment.
+    segment on its own. The tree options fit one pooled model per fold and target on the
+    deviations from each segment's mean, so they differ from one forest per segment.
     Controls must be complete (`segment_controls`).
     """
     if nuisance not in NUISANCES:
@@ -263,14 +263,20 @@ def cross_fit_residuals(
 def _pooled_residuals(
     rows: DataFrame, keys: list[str], controls: list[str], nuisance: str, seed: int, params: dict
 ) -> DataFrame:
-    label = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    labelled = rows.withColumn("__label", label)
-    coded = join_same(labelled, dense_codes(labelled, "__label", "__segment"), ["__label"], "left")
-    features = VectorAssembler(inputCols=[*controls, "__segment"], outputCol="__features")
-    frame = settle(features.transform(coded))
+    """Residuals of trees over all segments, which see how rows differ from their segment's mean only.
+
+    A row is trained on with its own fold's mean taken off, and scored as the other fold's mean plus
+    the tree's part, so a segment's level never depends on where other segments lie.
+    """
+    targets = {"y_log": "y_res", "t_log": "t_res"}
+    means = settle(rows.groupBy(*keys, "fold").agg(*[F.avg(c).alias(f"__own_{c}") for c in targets]))
+    other = means.withColumn("fold", 1 - F.col("fold")).withColumnsRenamed({f"__own_{c}": f"__other_{c}" for c in targets})
+    levelled = join_same(join_same(rows, means, [*keys, "fold"]), other, [*keys, "fold"], "left")
+    levelled = levelled.withColumns({f"__own_{c}": F.col(c) - F.col(f"__own_{c}") for c in targets})
+    frame = settle(VectorAssembler(inputCols=controls, outputCol="__features").transform(levelled))
 
     def model(target: str):
-        common = {"featuresCol": "__features", "labelCol": target, "seed": seed}
+        common = {"featuresCol": "__features", "labelCol": f"__own_{target}", "seed": seed}
         if nuisance == "random-forest":
             return RandomForestRegressor(**common, **{**FOREST, **params})
         return GBTRegressor(**common, **{**BOOSTING, **params})
@@ -278,11 +284,13 @@ def _pooled_residuals(
     halves = []
     for fold in (0, 1):
         scored = frame.where(F.col("fold") == fold)
-        for target, name in (("y_log", "y_res"), ("t_log", "t_res")):
-            fitted = model(target).fit(frame.where(F.col("fold") != fold))
-            scored = fitted.transform(scored).withColumn(name, F.col(target) - F.col("prediction")).drop("prediction")
+        for target, name in targets.items():
+            fitted = model(target).fit(frame.where((F.col("fold") != fold) & F.col(f"__own_{target}").isNotNull()))
+            residual = F.col(target) - F.col(f"__other_{target}") - F.col("prediction")
+            scored = fitted.transform(scored).withColumn(name, residual).drop("prediction")
         halves.append(scored)
-    return halves[0].unionByName(halves[1]).drop("__features", "__segment", "__label")
+    helpers = [f"__{part}_{c}" for part in ("own", "other") for c in targets]
+    return halves[0].unionByName(halves[1]).drop("__features", *helpers)
 
 
 def dml_elasticity(

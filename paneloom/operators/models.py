@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import IllegalArgumentException, PySparkValueError
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,15 +69,19 @@ def score(matrix: Matrix, model: GBTRegressionModel, name: str, family: str) ->
 
 def forecast_next(matrix: Matrix, model: GBTRegressionModel, name: str, family: str) -> DataFrame:
     """Score the latest non-empty split: test, else validation, else train."""
-    present = {r["split"] for r in matrix.frame.select("split").distinct().collect()}
+    return _latest_forecast(matrix.frame, model.transform, matrix.target, name, family)
+
+
+def _latest_forecast(df: DataFrame, predict: Callable[[DataFrame], DataFrame], target: str, name: str, family: str) -> DataFrame:
+    present = {r["split"] for r in df.select("split").distinct().collect()}
     latest = next((s for s in ("test", "validation", "train") if s in present), None)
     if latest is None:
-        raise PanelError("No rows are available in any split for forecast generation")
-    return model.transform(matrix.frame.where(F.col("split") == latest)).select(
+        raise PanelError("There is no row to forecast in the train, validation or test split")
+    return predict(df.where(F.col("split") == latest)).select(
         DATE,
         STORE,
         PRODUCT,
-        F.col(matrix.target).alias("actual_units"),
+        F.col(target).alias("actual_units"),
         F.col("prediction").alias("forecast_units"),
         F.lit(name).alias("model_name"),
         F.lit(family).alias("model_family"),
@@ -228,13 +234,14 @@ def tune_models(
     """Fit each trial on train, score it on validation, and mark the best trial per family.
 
     Columns: model_name, trial_number, state, objective_value, params_json, is_best. A score that is
-    no number counts as 1e12; a failed trial is kept with its state and never wins.
+    no number counts as 1e12; a trial whose parameters are rejected is kept with its state and never
+    wins. Any other error ends the search: it tells of the cluster or the data, not of the parameters.
     """
     metric_name(metric)
     if n_trials <= 0:
         raise PanelError("n_trials must be positive")
     frame = settle(matrix.frame.select(matrix.target, "split", "features"))
-    base = Matrix(frame, matrix.columns, matrix.medians, matrix.target, matrix.excluded)
+    base = replace(matrix, frame=frame)
     validation = frame.where(F.col("split") == "validation")
     trials = []
     for family in families:
@@ -245,7 +252,7 @@ def tune_models(
                 value = metric_value(scored.select(F.col(matrix.target).alias("actual"), "prediction"), metric)
                 if value is None or not np.isfinite(value):
                     value = 1e12
-            except Exception as error:  # noqa: BLE001 - one bad trial must not end the search
+            except (IllegalArgumentException, PySparkValueError) as error:  # parameters that Spark ML rejects
                 state = f"FAIL: {str(error).splitlines()[0][:200]}"
             trials.append((family, number, state, value, {k: str(v) for k, v in params.items()}))
     if all(t[3] is None for t in trials):
@@ -270,5 +277,4 @@ def matrix_of(df: DataFrame, partitions: int = FIT_PARTITIONS, **options: Any) -
     """
     matrix = model_matrix(df, **options)
     dealt = matrix.frame.select(*PANEL_KEY, matrix.target, "split", "features").repartition(partitions, *PANEL_KEY)
-    frame = settle(dealt.sortWithinPartitions(*PANEL_KEY))
-    return Matrix(frame, matrix.columns, matrix.medians, matrix.target, matrix.excluded)
+    return replace(matrix, frame=settle(dealt.sortWithinPartitions(*PANEL_KEY)))

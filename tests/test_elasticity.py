@@ -183,6 +183,20 @@ def test_pooled_trees_give_residuals(market):
         dml.cross_fit_residuals(ready, ["segment_key"], ["discount"], "oracle")
 
 
+@pytest.mark.parametrize("nuisance, params", [("random-forest", {"numTrees": 20}), ("gradient-boosting", {"maxIter": 20})])
+def test_pooled_trees_find_the_sign_at_any_segment_level(market, nuisance, params):
+    """Segments far apart in units and price keep their own negative elasticity."""
+    far = market.where("product_id <> 'BAD'").withColumns(
+        {"units_sold": F.col("units_sold") * F.when(F.col("product_id") == "GOOD", 50).otherwise(1), "price": F.col("price") * F.when(F.col("product_id") == "GOOD", 20).otherwise(1)}
+    )
+    keyed = elasticity.segment_key(elasticity.log_treatment(far))
+    controls = ["discount", "inventory_level"]
+    ready = dml.segment_controls(keyed, ["segment_key"], controls, scaled=True)
+    made = dml.cross_fit_residuals(ready, ["segment_key"], controls, nuisance, params=params)
+    found = {r["segment_key"]: r["elasticity_estimate"] for r in dml.dml_elasticity(made, ["segment_key"], controls).collect()}
+    assert all(-2.2 < value < -0.5 for value in found.values()), found
+
+
 def test_report_tables(spark):
     data = [
         ("a", "success", -2.0, -3.0, -1.0, "", "", 0),

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from paneloom.operators import matrix, metrics, models, split
+from paneloom.operators import matrix, metrics, models, saved, split
 from paneloom.schema import PanelError
 
 from helpers import day
@@ -116,11 +116,33 @@ def test_a_failed_trial_does_not_end_the_search(tagged, monkeypatch):
     real = models._fit
 
     def sometimes(matrix_, family, params, seed):
-        if family == "gbt_deep":
-            raise RuntimeError("no memory")
-        return real(matrix_, family, {"maxIter": 1}, seed)
+        return real(matrix_, family, {"maxIter": 1, "maxBins": 1 if family == "gbt_deep" else 32}, seed)
 
     monkeypatch.setattr(models, "_fit", sometimes)
     trials = {t["model_name"]: t for t in models.tune_models(made, n_trials=1).collect()}
-    assert trials["gbt_deep"]["state"].startswith("FAIL: no memory") and not trials["gbt_deep"]["is_best"]
+    assert trials["gbt_deep"]["state"].startswith("FAIL: ") and not trials["gbt_deep"]["is_best"]
     assert trials["gbt"]["is_best"]
+
+    def broken(*_):
+        raise RuntimeError("lost the cluster")
+
+    monkeypatch.setattr(models, "_fit", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        models.tune_models(made, n_trials=1)
+
+
+def test_a_saved_model_scores_new_rows_like_the_fitted_one(spark, tagged, tmp_path):
+    made = models.matrix_of(tagged)
+    fitted = models.train_gbt(made, {"maxIter": 3})
+    run = saved.save_model(made, fitted, "gbt", "trees", str(tmp_path / "m"), "2024-05-01T00:00:00")
+    again = saved.load_model(spark, str(tmp_path / "m"))
+    assert again.columns == made.columns and again.medians == made.medians
+    expected = models.forecast_next(made, fitted, "gbt", "trees")
+    registry = spark.createDataFrame([("overall", "gbt"), ("per-product", "other")], "scope string, model_name string")
+    found = saved.forecast_registered(tagged, registry, run)
+    assert found.columns == expected.columns and found.count() == expected.count()
+    assert found.exceptAll(expected).isEmpty()
+    unseen = tagged.limit(1).withColumn("store_id", F.lit("S9")).drop("discount")
+    assert again.predict(unseen).where("store_id_encoded = -1 and prediction is not null").count() == 1
+    with pytest.raises(PanelError, match="other"):
+        saved.forecast_registered(tagged, registry.withColumn("model_name", F.lit("other")), run)
