@@ -1,12 +1,13 @@
-"""Near-duplicate embeddings through a pivot-permutation index.
+"""Near-duplicate embeddings through lists of nearest pivots.
 
-Each vector is described by its nearest pivots in order. Lists are inverted by pairs of those pivots:
-two vectors meet in the list of every pair that both hold, so whoever shares at least two pivots meets.
-In a list their shared-pivot count is taken, and those with enough are verified by the cosine.
+Pivots are the positive and negative axes of random rotations, so they are spread out whatever the vectors are. A
+table is one or more rotations, and a vector is listed under its nearest pivot of each. How often two vectors
+meet depends on their angle only, not on their number or on how dense the place is that they lie in. There
+are as many tables as pairs at the threshold need to meet. Pairs that meet are verified by the cosine.
 """
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,11 @@ from paneloom.llm.components import connected_components, local_star
 from paneloom.llm.tables import complete_runs, save, small_batches
 
 THRESHOLD = 0.95
-PREFIX = 5  # nearest pivots that describe a vector
-LEAST_SHARED = 3  # shared pivots from which a pair is verified
-LEAST_PIVOTS, MOST_PIVOTS = 64, 4096  # the number of pivots is the square root of the vectors' in these bounds
+RECALL = 0.99  # share of pairs at the threshold that must meet
+SEED, SAMPLED_PAIRS = 42, 8192  # of the rotations, and pairs at the threshold that the number of tables is measured on
+MOST_PIVOT_AXES, MOST_TABLES = 256, 64
 BLOCK = 1024  # members of a list that one task compares with another such block
-ROW = "cls long, weight long, prefix array<int>, embedding array<double>"
+ROW = "cls long, weight long, keys array<long>, embedding array<double>"
 
 
 def usable(embedding: Column) -> Column:
@@ -36,58 +37,91 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Pivots for each vector length: vectors of the table, the first by a hash (a bounded sample)."""
-    sizes = classes.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").limit(64).collect()
-    pivots = {}
-    for size, n in sizes:
-        most = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, np.ceil(np.sqrt(n)))))
-        rows = classes.where(F.size("embedding") == size).orderBy(F.xxhash64("embedding"), "cls").limit(most).collect()
-        pivots[size] = unit_rows(np.array([r.embedding for r in rows], dtype=np.float64))
-    return pivots
+@lru_cache(maxsize=256)
+def pivot_axes(size: int, table: int, level: int) -> np.ndarray:
+    """Orthonormal columns; they and their negatives are the pivots of one rotation."""
+    draws = np.random.default_rng([SEED, size, table, level]).normal(size=(size, min(size, MOST_PIVOT_AXES)))
+    return np.linalg.qr(draws)[0]
+
+
+def pivot_keys(units: np.ndarray, tables: int, depth: int) -> np.ndarray:
+    """For each unit vector and table the numbers of the nearest pivots of `depth` rotations, as one number."""
+    keys = np.zeros((len(units), tables), np.int64)
+    for start in range(0, len(units), 1024):
+        part = units[start : start + 1024]
+        for table in range(tables):
+            for level in range(depth):
+                along = part @ pivot_axes(units.shape[1], table, level)
+                axis = np.abs(along).argmax(axis=1)
+                side = along[np.arange(len(part)), axis] > 0
+                keys[start : start + 1024, table] = keys[start : start + 1024, table] * 2 * along.shape[1] + 2 * axis + side
+    return keys
+
 
+def pairs_at(cosine: float, size: int, n: int = SAMPLED_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors with the given cosine."""
+    rng = np.random.default_rng([SEED, size])
+    one = unit_rows(rng.normal(size=(n, size)))
+    other = rng.normal(size=(n, size))
+    other = unit_rows(other - (other * one).sum(axis=1, keepdims=True) * one)
+    return one, cosine * one + np.sqrt(max(0.0, 1 - cosine * cosine)) * other
 
-def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> np.ndarray:
-    """The nearest pivots of each unit vector in order, the lower number first on ties."""
-    kept = min(prefix, len(pivots))
-    out = [np.argsort(-np.round(vectors[i : i + 1024] @ pivots.T, 12), axis=1, kind="stable")[:, :kept] for i in range(0, len(vectors), 1024)]
-    return np.concatenate(out) if out else np.zeros((0, kept), np.int64)
+
+def tables_for(size: int, n: int, threshold: float, recall: float) -> tuple[int, int]:
+    """(tables, rotations of each) for `n` vectors of a length; no table means that all pairs are compared.
+
+    Rotations are as many as even data needs for lists of at most BLOCK members.
+    """
+    cells = 2 * min(size, MOST_PIVOT_AXES)
+    depth = 0
+    while size > 1 and n > BLOCK * cells**depth:
+        depth += 1
+    one, other = pairs_at(threshold, size) if depth else (None, None)
+    for levels in range(depth, 0, -1):
+        for tables in (8, MOST_TABLES):
+            met = np.logical_or.accumulate(pivot_keys(one, tables, levels) == pivot_keys(other, tables, levels), axis=1).mean(axis=0)
+            if met[-1] >= recall:
+                return int(np.argmax(met >= recall)) + 1, levels
+    return 0, 0
+
+
+def choose_tables(classes: DataFrame, threshold: float, recall: float) -> dict[int, tuple[int, int]]:
+    """`tables_for` each of the commonest vector lengths."""
+    sizes = classes.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").limit(64).collect()
+    return {size: tables_for(size, n, threshold, recall) for size, n in sizes}
 
 
-def _describe(pivots: dict[int, np.ndarray]):
-    """Adds the pivot prefix; a vector of a length without pivots has an empty one."""
+def _describe(chosen: dict[int, tuple[int, int]]):
+    """Adds the keys of each vector; a vector of a length without tables has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             embeddings = batch.column("embedding").to_pylist()
-            prefixes: list[list[int]] = [[]] * len(embeddings)
-            for size in {len(e) for e in embeddings} & pivots.keys():
+            keys: list[list[int]] = [[]] * len(embeddings)
+            for size in {len(e) for e in embeddings} & chosen.keys():
                 rows = [i for i, e in enumerate(embeddings) if len(e) == size]
-                found = nearest_pivots(unit_rows(np.array([embeddings[i] for i in rows], dtype=np.float64)), pivots[size])
-                for i, prefix in zip(rows, found.tolist()):
-                    prefixes[i] = prefix
+                found = pivot_keys(unit_rows(np.array([embeddings[i] for i in rows], dtype=np.float64)), *chosen[size])
+                for i, own in zip(rows, found.tolist()):
+                    keys[i] = own
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), batch.column("weight"), pa.array(prefixes, pa.list_(pa.int32())), batch.column("embedding")],
-                names=["cls", "weight", "prefix", "embedding"],
+                [batch.column("cls"), batch.column("weight"), pa.array(keys, pa.list_(pa.int64())), batch.column("embedding")],
+                names=["cls", "weight", "keys", "embedding"],
             )
 
     return run
 
 
-def list_keys(prefix: Column, size: Column) -> Column:
-    """The inverted lists of a vector: one for each pair of its pivots; one for all where pivots are too few."""
-    pairs = [
-        F.struct(size.alias("size"), F.least(F.get(prefix, i), F.get(prefix, j)).alias("p"), F.greatest(F.get(prefix, i), F.get(prefix, j)).alias("q"))
-        for i, j in combinations(range(PREFIX), 2)
-    ]
-    whole = F.array(F.struct(size.alias("size"), F.lit(-1).alias("p"), F.lit(-1).alias("q")))
-    return F.when(F.size(prefix) < PREFIX, whole).otherwise(F.array(*pairs))
+def list_keys(keys: Column, size: Column) -> Column:
+    """The lists of a vector: table p and key q of each; one list for all of a length without tables."""
+    own = F.transform(keys, lambda key, table: F.struct(size.alias("size"), table.cast("long").alias("p"), key.alias("q")))
+    whole = F.array(F.struct(size.alias("size"), F.lit(-1).cast("long").alias("p"), F.lit(-1).cast("long").alias("q")))
+    return F.when(F.size(keys) == 0, whole).otherwise(own)
 
 
-def _pairs(tables: list[pa.Table], whole: bool, p: int, q: int, threshold: float, least_shared: int):
-    """Linked (i, j) rows of two tables, or of one with i < j, that the list of pivots p and q answers for."""
+def _pairs(tables: list[pa.Table], p: int, threshold: float):
+    """Linked (i, j) rows of two tables, or of one with i < j, that a list of table p answers for (below 0: of all)."""
     units = [unit_rows(np.array(t.column("embedding").to_pylist(), dtype=np.float64)) for t in tables]
-    prefixes = [np.array(t.column("prefix").to_pylist()) for t in tables]
+    keys = [np.array(t.column("keys").to_pylist()) for t in tables]
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for start in range(0, len(units[0]), 256):
         part = units[0][start : start + 256]
@@ -96,18 +130,15 @@ def _pairs(tables: list[pa.Table], whole: bool, p: int, q: int, threshold: float
             close &= np.arange(start, start + len(part))[:, None] < np.arange(len(units[0]))[None, :]
         i, j = np.nonzero(close)
         i = i + start
-        if len(i) and not whole:
-            # A pair belongs to the list of its two lowest shared pivots, so it is counted once.
-            mine = prefixes[0][i]
-            both = (mine[:, :, None] == prefixes[-1][j][:, None, :]).any(axis=2)
-            shared = np.sort(np.where(both, mine, 1 << 30), axis=1)
-            keep = (both.sum(axis=1) >= least_shared) & (shared[:, 0] == p) & (shared[:, 1] == q)
-            i, j = i[keep], j[keep]
+        if len(i) and p > 0:
+            # A pair belongs to the first table that it meets in, so it is counted once.
+            first = ~(keys[0][i, :p] == keys[-1][j, :p]).any(axis=1)
+            i, j = i[first], j[first]
         found.append((i, j))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _verify(threshold: float, least_shared: int):
+def _verify(threshold: float):
     """For each list or pair of its blocks: link counts by class, and the smallest class of each linked group."""
 
     def one(part: pa.Table) -> pa.RecordBatch:
@@ -118,7 +149,7 @@ def _verify(threshold: float, least_shared: int):
         if len(tables) == 2 or not first["crossed"]:
             ids = [t.column("cls").to_numpy() for t in tables]
             weights = [t.column("weight").to_numpy() for t in tables]
-            i, j = _pairs(tables, first["p"] < 0, first["p"], first["q"], threshold, least_shared)
+            i, j = _pairs(tables, first["p"], threshold)
             nodes, at = np.unique(np.concatenate([ids[0][i], ids[-1][j]]), return_inverse=True)
             n = np.zeros(len(nodes), np.int64)
             np.add.at(n, at, np.concatenate([weights[-1][j], weights[0][i]]))
@@ -141,7 +172,7 @@ def _verify(threshold: float, least_shared: int):
 
 def _dealt(described: DataFrame) -> DataFrame:
     """Members of every list, lists of over BLOCK members as pairs of blocks; sorted by unit of work."""
-    keyed = described.withColumn("key", F.explode(list_keys(F.col("prefix"), F.size("embedding")))).select("*", "key.*").drop("key")
+    keyed = described.withColumn("key", F.explode(list_keys(F.col("keys"), F.size("embedding")))).select("*", "key.*").drop("key")
     blocks = keyed.groupBy("size", "p", "q").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     large = save(blocks.where("blocks > 1"))  # at most one in BLOCK list entries
     joined = keyed.join(large, ["size", "p", "q"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
@@ -159,14 +190,15 @@ def _dealt(described: DataFrame) -> DataFrame:
 
 
 def embedding_groups(
-    vectors: DataFrame, threshold: float = THRESHOLD, least_shared: int = LEAST_SHARED, id_column: str = "vec_id", vector_column: str = "embedding"
+    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Equal vectors form a class first, so copies cost one row per partition. Classes are described
-    by pivots (a bounded sample of them), all are indexed, and a list of over BLOCK members is compared in
+    by pivots, all are listed, and a list of over BLOCK members is compared in
     pairs of blocks by many tasks. Lists give link counts and the smallest class of each linked
-    group, not pairs. Pairs below the threshold are never linked; measured recall is in the tests.
+    group, not pairs. Pairs below the threshold are never linked; of pairs at the threshold `recall` are found,
+    of closer ones more. Up to BLOCK classes of one length are compared pair by pair, hence without loss.
 
     Vectors that are null, zero or hold null or non-finite components link with nothing, vectors
     of different lengths don't link with each other. Repeated rows are vectors of their own. Rows with a null id take
@@ -177,8 +209,8 @@ def embedding_groups(
     linkable = rows.where(usable(F.col("embedding")))
     classes = linkable.groupBy("embedding").agg(F.min("vec_id").alias("low_id"), F.count(F.lit(1)).alias("weight"))
     classes = save(classes.withColumn("cls", F.monotonically_increasing_id()))
-    described = classes.select("cls", "weight", "embedding").mapInArrow(_describe(choose_pivots(classes)), ROW)
-    found = save(_dealt(save(described)).mapInArrow(_verify(threshold, least_shared), "cls long, n long, low long"))
+    described = classes.select("cls", "weight", "embedding").mapInArrow(_describe(choose_tables(classes, threshold, recall)), ROW)
+    found = save(_dealt(save(described)).mapInArrow(_verify(threshold), "cls long, n long, low long"))
     parts = connected_components(found.where("low <> cls"), "cls", "low").withColumnsRenamed({"node": "cls"})
     links = found.groupBy("cls").agg(F.sum("n").alias("n"))
     labelled = save(classes.join(parts, "cls", "left").join(links, "cls", "left").withColumn("component", F.coalesce("component", "cls")))

@@ -530,6 +530,21 @@ def test_embedding_links_and_recall(spark, monkeypatch, block):
     assert all(rows[i].kept == (rows[i].component_id == i) for i in rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_embedding_recall_in_a_cloud_of_a_third(spark, seed):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=64)
+    vectors = np.concatenate([rng.normal(size=(1800, 64)), centre + rng.normal(scale=0.2, size=(900, 64))])
+    close = brute_links(vectors)
+    np.fill_diagonal(close, False)
+    want = close.sum(axis=1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    rows = {r.vec_id: r for r in embedding_dedup.embedding_groups(df).collect()}
+    got = np.array([rows[i].n_links for i in range(len(vectors))])
+    assert want.sum() > 200_000 and (got <= want).all() and got.sum() >= 0.95 * want.sum()
+    assert {rows[i].component_id for i in range(1800, 2700)} == {1800}
+
+
 def test_embeddings_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [None, [], [0.0, 0.0], [None, 1.0], [nan, 1.0], [inf, 1.0], [1.0, 0.0], [1.0, 0.0], [2.0, 1e-3], [1.0, 0.0, 0.0], [1e300, 0.0], [5e-324, 0.0], [-1.0, 0.0]]
