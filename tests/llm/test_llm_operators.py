@@ -530,6 +530,20 @@ def test_embedding_links_and_recall(spark, monkeypatch, block):
     assert all(rows[i].kept == (rows[i].component_id == i) for i in rows)
 
 
+@pytest.mark.parametrize("size", [64, 256])
+@pytest.mark.parametrize("n", [10_256, 65_536, 1_000_000, 16_777_216])
+def test_embedding_recall_at_other_sizes(size, n):
+    """Share of pairs just at the threshold that meet under the tables chosen for n vectors; not the pairs they were chosen on."""
+    tables, depth = embedding_dedup.tables_for(size, n, 0.95, 0.99)
+    rng = np.random.default_rng(n + size)
+    one = embedding_dedup.unit_rows(rng.normal(size=(4000, size)))
+    noise = rng.normal(size=one.shape)
+    noise = embedding_dedup.unit_rows(noise - (noise * one).sum(axis=1, keepdims=True) * one)
+    other = 0.95 * one + np.sqrt(1 - 0.95**2) * noise
+    met = (embedding_dedup.pivot_keys(one, tables, depth) == embedding_dedup.pivot_keys(other, tables, depth)).any(axis=1)
+    assert tables and met.mean() >= 0.98
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_embedding_recall_in_a_cloud_of_a_third(spark, seed):
     rng = np.random.default_rng(seed)
