@@ -529,9 +529,7 @@ def q_score_per_product(spark, folder):
 
 
 def q_tune_models(spark, folder):
-    made = matrix.model_matrix(split_panel(spark, folder))
-    small = {"maxIter": (3, 6, False), "maxDepth": (3, 5, False)}
-    return models.tune_models(made, n_trials=2, ranges=small)
+    return models.tune_models(models.matrix_of(model_frame(spark, folder)))
 
 
 def q_forecast_next(spark, folder):

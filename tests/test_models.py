@@ -146,3 +146,14 @@ def test_a_saved_model_scores_new_rows_like_the_fitted_one(spark, tagged, tmp_pa
     assert again.predict(unseen).where("store_id_encoded = -1 and prediction is not null").count() == 1
     with pytest.raises(PanelError, match="other"):
         saved.forecast_registered(tagged, registry.withColumn("model_name", F.lit("other")), run)
+
+
+def test_tune_query_searches_all_trials_and_ranges(monkeypatch):
+    from checks import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "model_frame", lambda spark, folder: "feature table")
+    monkeypatch.setattr(models, "matrix_of", lambda df: ("matrix", df))
+    monkeypatch.setattr(models, "tune_models", lambda *given, **more: seen.append((given, more)))
+    queries.q_tune_models(None, "")
+    assert seen == [((("matrix", "feature table"),), {})]
