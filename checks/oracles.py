@@ -169,6 +169,18 @@ MEASURED = f"measured AS (SELECT split, model_name, model_family, COUNT(*) AS n_
 SEGMENTED = f"segmented AS (SELECT split, model_name, model_family, 'product_id=' || product_id AS segment_key, COUNT(*) AS n_obs, {columns(METRICS)} FROM predicted GROUP BY 1, 2, 3, 4)"
 
 
+# The feature table in place of the panel.
+FRAMED = (CUTOFFS.replace("FROM panel", "FROM kept"), TAGGED.replace("panel.*", "kept.*").replace("FROM panel", "FROM kept"))
+_predicted = "predicted AS (SELECT *, prediction - actual AS prediction_error, ABS(prediction - actual) AS prediction_abs_error FROM suite)"
+FRAMED_SUITE = (PANEL, MANUAL, *FRAMED, suite(*FORECASTS), _predicted)
+
+
+def judged_model(name: str) -> str:
+    """The rows that a model is to forecast, and the naive forecast that it is to beat."""
+    naive = "naive AS (SELECT split, wmape FROM measured WHERE model_name = 'naive_last')"
+    return query(PANEL, MANUAL, *FRAMED, suite("naive_last"), _predicted, MEASURED, naive, f"SELECT {KEY}, split, units_sold AS actual, '{name}' AS model_name, TRUE AS has_prediction, naive.wmape AS naive_wmape, TRUE AS beats_naive FROM tagged JOIN naive USING (split)")
+
+
 def prefixed(prefix: str, table: str = "") -> str:
     return ", ".join(f"{table}{m} AS {prefix}_{m}" for m in METRICS)
 
@@ -411,15 +423,23 @@ def _matrix() -> dict[str, str]:
         + [f"SELECT '{c}', CASE WHEN COUNT({c}) < 2 THEN 'insufficient_non_null' WHEN VAR_POP({c}) <= 0 THEN 'zero_variance' END FROM tagged WHERE split = 'train'" for c in measured]
     )
     filled = ", ".join(f"COALESCE({c}, {median(c)}) AS {{}}{c}" for c in ("discount", "inventory_level"))
+    numeric = [c for c in ("price", *CALENDAR, *DEMAND, *PRICE, "discount", "demand_forecast", "inventory_level", *INVENTORY, "competitor_price", *EXOGENOUS, "weather_code") if c != "stockout_proxy"]
+    inputs = {c: f"COALESCE(CAST({c} AS DOUBLE), {median(c)})" for c in numeric}
     return {
         "encode_identifiers": query(PANEL, CUTOFFS, TAGGED.replace("tagged AS (", "everything AS ("), "tagged AS (SELECT * FROM everything UNION ALL SELECT * REPLACE ('UNSEEN' AS store_id) FROM everything WHERE split = 'test')", codes("tagged"), f"SELECT {KEY}, {code('store_id')}, {code('product_id')} FROM tagged"),
         "select_features": query(PANEL, CUTOFFS, TAGGED, f"SELECT * FROM ({judged}) WHERE reason IS NOT NULL"),
         "impute_medians": query(PANEL, CUTOFFS, TAGGED, GAPPY, f"SELECT {KEY}, split, {filled.format("", "")} FROM gappy"),
-        "model_matrix": query(PANEL, CUTOFFS, TAGGED, GAPPY, codes("tagged"), f"SELECT {KEY}, price AS feature_price, {filled.format("feature_", "feature_")}, {code('store_id').replace('AS store', 'AS feature_store').replace('tagged.', 'gappy.')}, {code('product_id').replace('AS product', 'AS feature_product').replace('tagged.', 'gappy.')} FROM gappy"),
+        "model_matrix": query(PANEL, MANUAL, *FRAMED, GAPPY, codes("tagged"), f"SELECT {KEY}, {', '.join(f'{value} AS feature_{c}' for c, value in inputs.items())}, {code('store_id').replace('AS store', 'AS feature_store').replace('tagged.', 'gappy.')}, {code('product_id').replace('AS product', 'AS feature_product').replace('tagged.', 'gappy.')} FROM gappy"),
+        "tune_models": "SELECT * FROM (VALUES ('gbt'), ('gbt_deep')) f(model_name), (SELECT CAST(UNNEST(RANGE(20)) AS INTEGER) AS trial_number, 'COMPLETE' AS state, TRUE AS in_ranges, TRUE AS useful, 1::BIGINT AS n_best, TRUE AS is_lowest)",
+        "evaluate_models": query(*FRAMED_SUITE, MEASURED, "trained AS (SELECT * FROM (VALUES ('gbt', 'trees'), ('gbt_deep', 'trees'), ('ridge_per_product', 'linear')) t(model_name, model_family), (SELECT split, COUNT(*) AS n_obs FROM tagged WHERE split <> 'train' GROUP BY 1))", f"""SELECT split, model_name, model_family, n_obs, {', '.join(f'ROUND({m}, 4) AS {m}' for m in METRICS)}, NULL::BOOLEAN AS beats_naive FROM measured
+UNION ALL SELECT split, model_name, model_family, n_obs, {', '.join('NULL::DOUBLE' for _ in METRICS)}, TRUE FROM trained"""),
+        "forecast_next": query(PANEL, MANUAL, *FRAMED, f"SELECT {KEY}, units_sold AS actual_units, 'test' AS source_split, CASE WHEN product_id IN (SELECT product_id FROM tagged WHERE split = 'validation') THEN 8::BIGINT END AS n_candidates, TRUE AS has_forecast, TRUE AS by_winner FROM tagged WHERE split = 'test'"),
+        "saved_forecast": query(PANEL, MANUAL, *FRAMED, f"SELECT {KEY}, units_sold AS actual_units, 'gbt' AS model_name, 'test' AS source_split, TRUE AS as_saved FROM tagged WHERE split = 'test'"),
+        "train_gbt": judged_model("gbt"),
+        "train_gbt_deep": judged_model("gbt_deep"),
         "score_per_product": query(PANEL, CUTOFFS, TAGGED, f"""fits AS (SELECT product_id, REGR_INTERCEPT(units_sold, price) AS a, REGR_SLOPE(units_sold, price) AS b FROM tagged WHERE split = 'train' GROUP BY 1 HAVING COUNT(*) >= 5),
 overall AS (SELECT REGR_INTERCEPT(units_sold, price) AS a, REGR_SLOPE(units_sold, price) AS b FROM tagged WHERE split = 'train')""", f"SELECT {KEY}, {r6('COALESCE(fits.a, overall.a) + COALESCE(fits.b, overall.b) * price')} AS prediction FROM tagged LEFT JOIN fits USING (product_id) CROSS JOIN overall"),
-        "train_per_product": query(PANEL, CUTOFFS, TAGGED, f"""SELECT product_id, COUNT(*) AS n_rows, {r6('REGR_INTERCEPT(units_sold, price)')} AS intercept, {r6('REGR_SLOPE(units_sold, price)')} AS price_slope FROM tagged WHERE split = 'train' GROUP BY 1 HAVING COUNT(*) >= 5
-UNION ALL SELECT NULL, COUNT(*), {r6('REGR_INTERCEPT(units_sold, price)')}, {r6('REGR_SLOPE(units_sold, price)')} FROM tagged WHERE split = 'train'"""),
+        "train_per_product": query(PANEL, MANUAL, *FRAMED, f"""SELECT product_id, COUNT(*) AS n_rows, {len(inputs) + 2}::INTEGER AS n_weights, 0.0::DOUBLE AS mean_error, TRUE AS beats_constant, {r6('VAR_POP(units_sold)')} AS variance FROM tagged WHERE split = 'train' GROUP BY 1 HAVING COUNT(*) >= 5"""),
     }
 
 
@@ -437,7 +457,10 @@ stats AS (SELECT product_id, COUNT(discount) >= 2 AND VAR_POP(discount) > 0 AS u
     fit = lambda s: f"COUNT(*) FILTER (fit_status = '{s}')"
     warned = f"GREATEST(CAST(SUM(inference_warning_count) AS BIGINT), {quality('warning_inference_unstable')})"
     top = lambda order, name: f"SELECT * FROM (SELECT *, '{name}' AS elasticity_rank_group FROM fitted ORDER BY elasticity_estimate {order}, segment_key LIMIT 10)"
-    fold_counts = query(product_x, "SELECT segment_key, fold, COUNT(*) AS n_rows, COUNT(*) AS n_residuals FROM folded GROUP BY 1, 2")
+    framed = LOGGED.replace("panel.*", "kept.*").replace("FROM panel", "FROM kept")
+    frame_folds = query(PANEL, MANUAL, framed, residuals("(SELECT *, discount AS x FROM logged)"), f"SELECT {KEY}, segment_key, fold, {r6('y_log')} AS y_log, {r6('t_log')} AS t_log, TRUE AS has_residuals FROM folded")
+    lean = ("day_of_week", "month", "is_weekend", "units_sold_lag_7", "units_sold_lag_28", "inventory_level", "discount", "competitor_price", "promotion", "holiday")
+    used = "used AS (SELECT segment_key, " + " + ".join(f"CAST(COUNT({c}) >= 2 AND COALESCE(VAR_POP(CAST({c} AS DOUBLE)), 0) > 0 AS BIGINT)" for c in lean) + " AS controls FROM logged GROUP BY 1)"
     return {
         "loglog_elasticity": query(PANEL, LOGLOG, f"SELECT store_id, product_id, {r6('intercept')} AS intercept, {r6('price_elasticity')} AS price_elasticity, {r6('r_squared')} AS r_squared, n_observations FROM loglog WHERE n_observations >= 8"),
         "price_plan_forecast": query(scenario, f"""SELECT s.store_id, s.product_id, s.date, {r6(f'GREATEST({demand}, 0)')} AS forecast_units, {r6('base')} AS baseline_units, {r6('COALESCE(f.price, ref)')} AS planned_price, {r6('ref')} AS reference_price, {r6('COALESCE(e.price_elasticity, -1.0::DOUBLE)')} AS applied_elasticity
@@ -447,11 +470,13 @@ FROM steps s LEFT JOIN plan f ON f.store_id = s.store_id AND f.product_id = s.pr
         "segment_key": query(PANEL, "SELECT 'store_id=' || store_id || '|product_id=' || product_id AS segment_key, COUNT(*) AS n_rows FROM panel GROUP BY 1"),
         "segment_guardrails": query(PANEL, LOGGED_SERIES, guardrails(250, 0.01), "SELECT * FROM guarded"),
         "segment_controls": query(PANEL, gappy_panel, controls, f"SELECT {KEY}, CASE WHEN ud THEN COALESCE(discount, md) ELSE 0 END AS discount, CASE WHEN ui THEN COALESCE(inventory_level, mi) ELSE 0 END AS inventory_level, CAST(ud AS BIGINT) + CAST(ui AS BIGINT) AS controls_used FROM numbers JOIN stats USING (product_id)"),
-        "residuals_random_forest": fold_counts,
-        "residuals_gradient_boosting": fold_counts,
+        "residuals_random_forest": frame_folds,
+        "residuals_gradient_boosting": frame_folds,
         "cross_fit_residuals": query(product_x, f"SELECT {KEY}, fold, {r6('y_res')} AS y_res, {r6('t_res')} AS t_res FROM resid"),
         "dml_elasticity": query(product_x, DML, f"SELECT segment_key, n_rows, {r6('est')} AS elasticity_estimate, {r6('lo')} AS lower_ci, {r6('hi')} AS upper_ci, 0::BIGINT AS inference_warning_count FROM dml"),
-        "elasticity_estimates": query(series_x, f"""SELECT 'store_product' AS segmentation_level, 'lean' AS feature_profile_used, segment_key, sample_size, non_null_pair_count, unique_price_values, log_price_std, log_units_std, treatment_variance, outcome_variance,
+        "elasticity_estimates": query(PANEL, MANUAL, framed, guardrails(250, 0.01), used, """SELECT 'product' AS segmentation_level, 'lean' AS feature_profile_used, segment_key, sample_size, non_null_pair_count, unique_price_values, log_price_std, log_units_std, treatment_variance, outcome_variance,
+  CASE WHEN is_valid THEN 'success' ELSE 'skipped' END AS fit_status, COALESCE(reason, '') AS skip_reason, CASE WHEN is_valid THEN controls ELSE 0 END AS feature_count_used, is_valid AS has_estimate, TRUE AS in_bounds FROM guarded JOIN used USING (segment_key)"""),
+        "elasticity_estimates_linear": query(series_x, f"""SELECT 'store_product' AS segmentation_level, 'lean' AS feature_profile_used, segment_key, sample_size, non_null_pair_count, unique_price_values, log_price_std, log_units_std, treatment_variance, outcome_variance,
   {r6('est')} AS elasticity_estimate, {r6('lo')} AS lower_ci, {r6('hi')} AS upper_ci, CASE WHEN is_valid THEN 'success' ELSE 'skipped' END AS fit_status, CASE WHEN is_valid THEN 'ok' ELSE 'skipped' END AS quality_status, FALSE AS ci_caution_flag,
   COALESCE(reason, '') AS skip_reason, CAST(is_valid AS BIGINT) AS feature_count_used, 0::BIGINT AS warning_count, 0::BIGINT AS inference_warning_count, '' AS warnings_text FROM guarded LEFT JOIN dml USING (segment_key)"""),
         "elasticity_quality": query(*ESTIMATED, "SELECT * FROM flagged"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.functions import scalars
-from paneloom.operators import baselines, clean, dml, elasticity, explore, features, matrix, metrics, models, saved, split, windows
+from paneloom.operators import baselines, clean, dml, elasticity, evaluate, explore, features, matrix, metrics, models, saved, split, windows
 from paneloom.operators.scaling import settle, shared_folder
 from paneloom.plans.audit import audit_plan, plan_specs
 from paneloom.plans.materialize import materialize_plan, merge_planned_features
@@ -495,33 +495,56 @@ def q_impute_medians(spark, folder):
     return filled.select(*KEY, "split", "discount", "inventory_level")
 
 
-MATRIX_INPUTS = ("price", "discount", "inventory_level")
-
-
 def q_model_matrix(spark, folder):
-    frame = _gappy(split_panel(spark, folder)).select(*KEY, "units_sold", "split", *MATRIX_INPUTS)
-    made = matrix.model_matrix(frame)
+    """All features of the feature table, with gaps."""
+    made = matrix.model_matrix(_gappy(model_frame(spark, folder)))
     values = vector_to_array("features")
-    return made.frame.select(*KEY, *[values[i].alias(f"feature_{c}") for i, c in enumerate(made.columns)])
+    return _rounded_features(made.frame.select(*KEY, *[values[i].alias(f"feature_{c}") for i, c in enumerate(made.columns)]))
+
+
+def _judged(predicted: DataFrame, frame: DataFrame) -> DataFrame:
+    """Keys, actuals, whether the model has a number, the naive forecast's wMAPE and whether the model's is lower."""
+    naive = metrics.forecast_metrics(metrics.prediction_frame(rounded(baselines.baseline(frame, "naive_last"), "prediction")))
+    model = metrics.forecast_metrics(predicted)
+    figures = naive.select("split", F.col("wmape").alias("naive_wmape")).join(model.select("split", F.col("wmape").alias("own")), "split")
+    known = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < 1e9)
+    joined = predicted.withColumn("has_prediction", known).join(figures, "split")
+    return joined.select(*KEY, "split", "actual", "model_name", "has_prediction", "naive_wmape", (F.col("own") < F.col("naive_wmape")).alias("beats_naive"))
 
 
 def _tree_query(train: Callable, name: str) -> Query:
     def query(spark, folder):
-        made = models.matrix_of(model_frame(spark, folder))
-        fitted = train(made)
-        return metrics.forecast_metrics(models.score(made, fitted, name, "trees"))
+        frame = model_frame(spark, folder)
+        made = models.matrix_of(frame)
+        predicted = settle(models.score(made, train(made), name, "trees"))
+        return _judged(predicted, frame)
 
     return query
 
 
+def per_product_fits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The feature table with ids as codes, the models of all products on all selected columns, and these columns."""
+    frame = settle(matrix.encode_identifiers(model_frame(spark, folder)))
+    columns, _ = matrix.select_features(frame)
+    return frame, settle(models.train_per_product(frame, columns)), columns
+
+
 def q_train_per_product(spark, folder):
-    fits = models.train_per_product(split_panel(spark, folder), ["price"], ridge=0.0)
-    return rounded(
-        fits.select("product_id", "n_rows", "intercept", F.col("coefficients")[0].alias("price_slope")), "intercept", "price_slope"
+    """Rows of each product's model, how many weights it has, and the training error it leaves against the best constant."""
+    frame, fits, columns = per_product_fits(spark, folder)
+    train = frame.where(F.col("split") == "train")
+    scored = models.score_per_product(train, fits, columns, matrix.training_medians(frame, columns))
+    error = F.col("prediction") - F.col("units_sold")
+    left = scored.groupBy("product_id").agg(
+        F.avg(error).alias("mean_error"), (F.avg(error * error) < F.var_pop("units_sold")).alias("beats_constant"),
+        F.round(F.var_pop("units_sold"), 6).alias("variance"),
     )
+    own = fits.where("product_id is not null").select("product_id", "n_rows", F.size("coefficients").alias("n_weights"))
+    return rounded(own.join(left, "product_id").withColumn("mean_error", F.round("mean_error", 3)), "mean_error", "variance")
 
 
 def q_score_per_product(spark, folder):
+    """One column and no penalty, which SQL can fit as well; all columns run in `train_per_product` and `evaluate_models`."""
     tagged = split_panel(spark, folder)
     fits = settle(models.train_per_product(tagged, ["price"], ridge=0.0))
     scored = models.score_per_product(tagged, fits, ["price"], matrix.training_medians(tagged, ["price"]))
@@ -529,20 +552,62 @@ def q_score_per_product(spark, folder):
 
 
 def q_tune_models(spark, folder):
-    return models.tune_models(models.matrix_of(model_frame(spark, folder)))
+    """The full search: each trial with whether its parameters lie in the family's ranges and whether it beats the best constant error."""
+    found = models.tune_models(models.matrix_of(model_frame(spark, folder)))
+    params = F.from_json("params_json", "rounds double, rate double, depth double, least double, rows double, columns double")
+    inside = F.lit(False)
+    for family, ranges in models.SEARCH.items():
+        held = F.col("model_name") == family
+        for name, (low, high, _) in ranges.items():
+            held &= params[name].between(low, high)
+        inside |= held
+    lowest = found.groupBy("model_name").agg(F.min("objective_value").alias("lowest"), F.count_if("is_best").alias("n_best"))
+    judged = found.join(lowest, "model_name").withColumn("is_lowest", ~F.col("is_best") | (F.col("objective_value") == F.col("lowest")))
+    return judged.select(
+        "model_name", "trial_number", "state", inside.alias("in_ranges"), (F.col("objective_value") < 100).alias("useful"), "n_best", "is_lowest"
+    )
+
+
+def q_evaluate_models(spark, folder):
+    """All candidates: figures of the baselines, and for trained models that they have all rows and beat the naive forecast."""
+    found = evaluate.evaluate_models(model_frame(spark, folder))
+    naive = found.metrics.where("model_name = 'naive_last'").select("split", F.col("wmape").alias("naive_wmape"))
+    judged = found.metrics.join(naive, "split").withColumn("beats_naive", F.col("wmape") < F.col("naive_wmape"))
+    hidden = F.col("model_family") != "baseline"
+    kept = judged.withColumns({m: F.when(~hidden, F.round(m, 4)) for m in metrics.METRICS})
+    return kept.select("split", "model_name", "model_family", "n_obs", *metrics.METRICS, F.when(hidden, F.col("beats_naive")).alias("beats_naive"))
 
 
 def q_forecast_next(spark, folder):
-    """Train, save, register, then forecast with the registry's winner read back."""
-    tagged = split_panel(spark, folder)
-    made = models.matrix_of(tagged)
+    """Each product's test rows by its winner among eight candidates; the winner is found again from the persisted predictions."""
+    found = evaluate.evaluate_models(model_frame(spark, folder))
+    forecast = evaluate.forecast_by_segment(found.predictions, found.registry)
+    found.predictions.createOrReplaceTempView("candidate_predictions")
+    again = spark.sql("""
+        WITH errors AS (
+          SELECT product_id, model_name, sum(cast(round(abs(prediction - actual) * 1000000) AS decimal(38,0))) AS error
+          FROM candidate_predictions WHERE split = 'validation' GROUP BY product_id, model_name
+        )
+        SELECT product_id, min_by(model_name, struct(error, model_name)) AS winner, count(*) AS n_candidates FROM errors GROUP BY product_id""")
+    joined = forecast.join(again, "product_id", "left")
+    known = F.col("forecast_units").isNotNull() & ~F.isnan("forecast_units")
+    own = F.col("winner").isNull() | (F.col("winner") == F.col("model_name"))
+    return joined.select(*KEY, "actual_units", "source_split", "n_candidates", known.alias("has_forecast"), own.alias("by_winner"))
+
+
+def q_saved_forecast(spark, folder):
+    """Train, save, register, then forecast with the overall winner read back: equal to the model that was saved."""
+    frame = model_frame(spark, folder)
+    made = models.matrix_of(frame)
     fitted = models.train_gbt(made)
-    found = settle(metrics.forecast_metrics(models.score(made, fitted, "gbt", "trees")))
-    segments = metrics.segment_metrics(models.score(made, fitted, "gbt", "trees"))
+    scored = settle(models.score(made, fitted, "gbt", "trees"))
+    found = settle(metrics.forecast_metrics(scored))
     of = lambda name: found.where(F.col("split") == name)
-    registry = metrics.best_model_registry(of("validation"), of("test"), segments)
+    registry = metrics.best_model_registry(of("validation"), of("test"), metrics.segment_metrics(scored))
     runs = saved.save_model(made, fitted, "gbt", "trees", output_folder(spark, "gbt"), "2024-01-01T00:00:00")
-    return saved.forecast_registered(tagged, registry, runs)
+    again = saved.forecast_registered(frame, registry, runs)
+    joined = again.join(scored.select(*KEY, "prediction"), KEY)
+    return joined.select(*KEY, "actual_units", "model_name", "source_split", (F.col("forecast_units") == F.col("prediction")).alias("as_saved"))
 
 
 # ---------------------------------------------------------------- elasticity and scenarios
@@ -603,7 +668,7 @@ def q_segment_controls(spark, folder):
 
 def _residuals(spark, folder) -> DataFrame:
     keyed = logged_panel(spark, folder)
-    return dml.cross_fit_residuals(keyed, ["segment_key"], ["discount"])
+    return dml.cross_fit_residuals(keyed, ["segment_key"], ["discount"], "linear")
 
 
 def q_cross_fit_residuals(spark, folder):
@@ -611,12 +676,24 @@ def q_cross_fit_residuals(spark, folder):
 
 
 def _tree_residuals(nuisance: str) -> Query:
+    """Residuals of each row by the trees of its segment, on all controls: whether the trees' values are known and, for means
+    of training values, lie among the other fold's, and whether they leave less than the other fold's mean does."""
+
     def query(spark, folder):
-        made = dml.cross_fit_residuals(logged_panel(spark, folder), ["segment_key"], ["discount"], nuisance)
-        finite = lambda name: F.col(name).isNotNull() & ~F.isnan(name)
-        return made.groupBy("segment_key", "fold").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(finite("y_res") & finite("t_res")).alias("n_residuals")
+        frame = model_frame(spark, folder)
+        controls = dml.select_controls(frame)
+        keyed = elasticity.segment_key(elasticity.log_treatment(frame), "product")
+        filled = dml.segment_controls(keyed, ["segment_key"], controls, scaled=True)
+        made = settle(dml.cross_fit_residuals(filled, ["segment_key"], controls, nuisance))
+        other = made.groupBy("segment_key", (1 - F.col("fold")).alias("fold")).agg(
+            *[f(c).alias(f"{n}_{c}") for c in ("y_log", "t_log") for n, f in (("low", F.min), ("high", F.max))]
         )
+        joined = made.join(other, ["segment_key", "fold"])
+        inside = [((F.col(c) - F.col(r)).between(F.col(f"low_{c}") - 1e-6, F.col(f"high_{c}") + 1e-6)) for c, r in dml.TARGETS.items()]
+        known = F.col("y_res").isNotNull() & F.col("t_res").isNotNull()
+        if nuisance == "random-forest":
+            known = known & inside[0] & inside[1]
+        return rounded(joined.select(*KEY, "segment_key", "fold", "y_log", "t_log", known.alias("has_residuals")), "y_log", "t_log")
 
     return query
 
@@ -627,13 +704,25 @@ def q_dml_elasticity(spark, folder):
     return rounded(kept, "elasticity_estimate", "lower_ci", "upper_ci")
 
 
-def q_elasticity_estimates(spark, folder):
-    base = panel(spark, folder).select(*BASE_COLUMNS, "discount")
-    config = dml.ElasticityConfig(level="store_product")
+def q_elasticity_estimates_linear(spark, folder):
+    """One control and straight lines, which SQL can fit as well."""
+    base = lazy_panel(spark, folder).select(*BASE_COLUMNS, "discount")
+    config = dml.ElasticityConfig(level="store_product", nuisance="linear")
     found = dml.elasticity_estimates(base, config)
     return rounded(found, "elasticity_estimate", "lower_ci", "upper_ci", *GUARD_FIGURES)
 
 
+def q_elasticity_estimates(spark, folder):
+    """The whole feature table, all controls and forests per segment: guards, statuses and controls, and whether bounds hold the estimate."""
+    found = dml.elasticity_estimates(model_frame(spark, folder))
+    bounds = F.col("lower_ci").isNull() | ((F.col("lower_ci") <= F.col("elasticity_estimate")) & (F.col("elasticity_estimate") <= F.col("upper_ci")))
+    kept = found.select(
+        "segmentation_level", "feature_profile_used", "segment_key", "sample_size", "non_null_pair_count", "unique_price_values", *GUARD_FIGURES,
+        "fit_status", "skip_reason", "feature_count_used", F.col("elasticity_estimate").isNotNull().alias("has_estimate"), bounds.alias("in_bounds"),
+    )
+    return rounded(kept, *GUARD_FIGURES)
+
+
 def loglog_estimates(spark: SparkSession, folder: str) -> DataFrame:
     """Log-log fits with normal bounds, in the form of an estimates table.
 

@@ -10,17 +10,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.functions.scalars import as_double
+from paneloom.operators import trees
 from paneloom.operators.elasticity import (
     UNSTABLE,
     log_treatment,
@@ -30,7 +31,7 @@ from paneloom.operators.elasticity import (
 )
 from paneloom.operators.quantiles import exact_medians
 from paneloom.operators.scaling import join_same, settle, with_position
-from paneloom.schema import BASE_COLUMNS, DATE, PRICE, PRODUCT, STORE, UNITS, PanelError, require_columns
+from paneloom.schema import BASE_COLUMNS, DATE, PANEL_KEY, PRICE, PRODUCT, STORE, UNITS, PanelError, require_columns
 
 # The lean control set, names that are never controls, and name parts that mark
 # own-price proxies, store indicators and planned features.
@@ -72,9 +73,10 @@ STORE_INDICATORS = ("store_id_encoded", "store_numeric_id", "store_fe", "store_f
 PLANNED_MARK = "llm"
 
 NUISANCES = ("linear", "random-forest", "gradient-boosting")
-# Size of the pooled tree models.
-FOREST = {"numTrees": 200, "maxDepth": 6, "minInstancesPerNode": 5}
-BOOSTING = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3}
+# Size of the tree models of a segment.
+FOREST = {"trees": 200, "depth": 6, "least": 5}
+BOOSTING = {"rounds": 100, "rate": 0.1, "depth": 3}
+HELD_ROWS = 1_000_000  # rows of a segment whose trees one task grows; larger segments are grown over all tasks
 
 
 @dataclass(frozen=True)
@@ -92,7 +94,7 @@ class ElasticityConfig:
     include_planned: bool = False
     allow_demand_forecast: bool = False
     include_store_indicators: bool = True
-    nuisance: str = "linear"
+    nuisance: str = "random-forest"
     seed: int = 42
 
 
@@ -228,18 +230,19 @@ def cross_fit_residuals(
     df: DataFrame,
     keys: Sequence[str],
     controls: Sequence[str],
-    nuisance: str = "linear",
+    nuisance: str = "random-forest",
     order: Sequence[str] = (DATE,),
     tiebreak: Sequence[str] = (STORE, PRODUCT),
     seed: int = 42,
     params: dict | None = None,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """Add `fold`, `y_res` and `t_res`: y_log and t_log minus what the other fold predicts.
 
-    The folds are the first and second half of the segment's rows in time. `linear` fits every
-    segment on its own. The tree options fit one pooled model per fold and target on the
-    deviations from each segment's mean, so they differ from one forest per segment.
-    Controls must be complete (`segment_controls`).
+    The folds are the first and second half of the segment's rows in time. Every segment has models of its own: least squares
+    (`linear`), or trees, with `params` in place of the values of FOREST or BOOSTING. Rows enter a tree by a hash of the panel
+    key, and sums are exact, so residuals don't depend on partitions, nor on whether a segment has over `held_rows` rows and is
+    grown by all tasks. A segment whose other fold is empty has no residuals. Controls must be complete (`segment_controls`).
     """
     if nuisance not in NUISANCES:
         raise PanelError(f"Unsupported nuisance model. Allowed values: {', '.join(NUISANCES)}")
@@ -257,40 +260,90 @@ def cross_fit_residuals(
                 "t_res": F.col("t_log") - _dot("t_weights", design),
             }
         ).drop("y_weights", "t_weights")
-    return _pooled_residuals(rows, keys, controls, nuisance, seed, params or {})
+    return _tree_residuals(rows, keys, controls, nuisance, seed, params or {}, held_rows)
 
 
-def _pooled_residuals(
-    rows: DataFrame, keys: list[str], controls: list[str], nuisance: str, seed: int, params: dict
-) -> DataFrame:
-    """Residuals of trees over all segments, which see how rows differ from their segment's mean only.
+TARGETS = {"y_log": "y_res", "t_log": "t_res"}
 
-    A row is trained on with its own fold's mean taken off, and scored as the other fold's mean plus
-    the tree's part, so a segment's level never depends on where other segments lie.
-    """
-    targets = {"y_log": "y_res", "t_log": "t_res"}
-    means = settle(rows.groupBy(*keys, "fold").agg(*[F.avg(c).alias(f"__own_{c}") for c in targets]))
-    other = means.withColumn("fold", 1 - F.col("fold")).withColumnsRenamed({f"__own_{c}": f"__other_{c}" for c in targets})
-    levelled = join_same(join_same(rows, means, [*keys, "fold"]), other, [*keys, "fold"], "left")
-    levelled = levelled.withColumns({f"__own_{c}": F.col(c) - F.col(f"__own_{c}") for c in targets})
-    frame = settle(VectorAssembler(inputCols=controls, outputCol="__features").transform(levelled))
-
-    def model(target: str):
-        common = {"featuresCol": "__features", "labelCol": f"__own_{target}", "seed": seed}
-        if nuisance == "random-forest":
-            return RandomForestRegressor(**common, **{**FOREST, **params})
-        return GBTRegressor(**common, **{**BOOSTING, **params})
 
+def _tree_residuals(
+    rows: DataFrame, keys: list[str], controls: list[str], nuisance: str, seed: int, params: dict, held_rows: int
+) -> DataFrame:
+    """Residuals of trees per segment, fold and target."""
+    if nuisance == "random-forest":
+        chosen: trees.Forest | trees.Boosting = trees.Forest(**{**FOREST, **params}, seed=seed)
+    else:
+        chosen = trees.Boosting(**{**BOOSTING, **params}, seed=seed)
+    keyed = rows.withColumns({"__key": F.xxhash64(*PANEL_KEY), "__values": F.array(*[F.col(c).cast("double") for c in controls])})
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.DoubleType()) for n in TARGETS.values())])
+    # At most one segment in `held_rows` rows.
+    large = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > held_rows).select(*keys).collect()
+    small = keyed
+    for one in large:
+        small = small.where(~_same(keys, one))
+    found = small.groupBy(*keys).applyInArrow(_segment_residuals(chosen, rows.columns), schema)
+    for one in large:
+        found = found.unionByName(_spread_residuals(keyed.where(_same(keys, one)), chosen, len(controls)).select(*schema.fieldNames()))
+    return found
+
+
+def _same(keys: list[str], row) -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(row[k])) for k in keys])
+
+
+def _segment_residuals(chosen: trees.Forest | trees.Boosting, columns: list[str]):
+    """Adds the residuals to the rows of one segment."""
+
+    def run(table: pa.Table) -> pa.Table:
+        values = trees.column_values(table.column("__values").combine_chunks())
+        keys, fold = table.column("__key").to_numpy(), table.column("fold").to_numpy()
+        out = {}
+        for target, name in TARGETS.items():
+            y = table.column(target).to_numpy(zero_copy_only=False).astype(np.float64)
+            out[name] = np.full(len(y), np.nan)
+            for half in (0, 1):
+                own = (fold != half) & ~np.isnan(y)
+                if not own.any():
+                    continue
+                edges = trees.edges_of(values[own & trees.edge_rows(keys, int(own.sum()))])
+                codes = trees.codes_of(values, edges)
+                if isinstance(chosen, trees.Forest):
+                    fit = trees.held_forest(codes[own], y[own], keys[own], chosen, edges)
+                else:
+                    fit = trees.Fit(edges, chosen.rate)
+                    trees.boost(codes[own], y[own], keys[own], chosen, fit, 0, chosen.rounds)
+                scored = fold == half
+                out[name][scored] = y[scored] - fit.predict(codes[scored])
+        found = table.select(columns)
+        for name, residual in out.items():
+            found = found.append_column(name, pa.array(residual, from_pandas=True))
+        return found
+
+    return run
+
+
+def _spread_residuals(rows: DataFrame, chosen: trees.Forest | trees.Boosting, n_controls: int) -> DataFrame:
+    """The same for one segment of many rows, whose trees are grown by jobs over all of them."""
+    rows = settle(rows)
     halves = []
-    for fold in (0, 1):
-        scored = frame.where(F.col("fold") == fold)
-        for target, name in targets.items():
-            fitted = model(target).fit(frame.where((F.col("fold") != fold) & F.col(f"__own_{target}").isNotNull()))
-            residual = F.col(target) - F.col(f"__other_{target}") - F.col("prediction")
-            scored = fitted.transform(scored).withColumn(name, residual).drop("prediction")
+    for half in (0, 1):
+        scored = rows.where(F.col("fold") == half)
+        for target, name in TARGETS.items():
+            own = rows.where((F.col("fold") != half) & F.col(target).isNotNull())
+            train = own.select(F.col("__key").alias("key"), F.col(target).cast("double").alias("y"), F.col("__values").alias("values"))
+            total = train.count()
+            if not total:
+                scored = scored.withColumn(name, F.lit(None).cast("double"))
+                continue
+            edges = trees.bin_edges(train, "values", "key", total)
+            table = settle(trees.binned(train, "values", edges, ["key", "y"]))
+            if isinstance(chosen, trees.Forest):
+                fit = trees.spread_forest(table, total, chosen, edges)
+            else:
+                fit = trees.boosted(table, chosen, edges, total, 0, 100)
+            scored = scored.withColumn(name, F.col(target) - trees.prediction(fit, F.col("__values")))
         halves.append(scored)
-    helpers = [f"__{part}_{c}" for part in ("own", "other") for c in targets]
-    return halves[0].unionByName(halves[1]).drop("__features", *helpers)
+    return halves[0].unionByName(halves[1]).drop("__key", "__values")
 
 
 def dml_elasticity(

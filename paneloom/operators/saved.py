@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml.regression import GBTRegressionModel
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.operators.matrix import Matrix, assemble, encode_with
 from paneloom.operators.metrics import latest_models
-from paneloom.operators.models import _latest_forecast
+from paneloom.operators import trees
+from paneloom.operators.models import TreeModel, _latest_forecast
 from paneloom.schema import PanelError
 
 RUN_SCHEMA = "model_name string, status string, segment_mode string, trained_at_utc string, model_path string"
@@ -21,7 +22,7 @@ RUN_SCHEMA = "model_name string, status string, segment_mode string, trained_at_
 class SavedModel:
     """A fitted model with its column order, training medians and id codes."""
 
-    model: GBTRegressionModel
+    model: TreeModel
     columns: list[str]
     medians: dict[str, float]
     target: str
@@ -35,15 +36,19 @@ class SavedModel:
 
 
 def save_model(
-    matrix: Matrix, model: GBTRegressionModel, name: str, family: str, path: str, trained_at_utc: str
+    matrix: Matrix, model: TreeModel, name: str, family: str, path: str, trained_at_utc: str
 ) -> DataFrame:
     """Write the model below `path`, which all executors share; returns its row for a table of runs."""
     spark = matrix.frame.sparkSession
-    model.write().overwrite().save(f"{path}/model")
+    parts = [tuple(r.values()) for r in trees.packed(model.fit).to_pylist()]
+    spark.createDataFrame(parts, trees.TREE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
     for column, codes in matrix.codes.items():
         codes.write.mode("overwrite").parquet(f"{path}/codes/{column}")
-    facts = (matrix.columns, matrix.medians, matrix.target, list(matrix.codes), name, family)
-    schema = "columns array<string>, medians map<string,double>, target string, ids array<string>, name string, family string"
+    facts = (matrix.columns, matrix.medians, matrix.target, list(matrix.codes), name, family, model.fit.edges.tolist(), model.fit.rate, model.family)
+    schema = (
+        "columns array<string>, medians map<string,double>, target string, ids array<string>, name string, family string, "
+        "edges array<array<double>>, rate double, trees string"
+    )
     spark.createDataFrame([facts], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/facts")
     return spark.createDataFrame([(name, "success", "global", trained_at_utc, path)], RUN_SCHEMA)
 
@@ -52,8 +57,9 @@ def load_model(spark: SparkSession, path: str) -> SavedModel:
     """Read what `save_model` wrote."""
     facts = spark.read.parquet(f"{path}/facts").first()
     codes = {column: spark.read.parquet(f"{path}/codes/{column}") for column in facts["ids"]}
+    fit = trees.unpacked(spark.read.parquet(f"{path}/model").collect(), np.array(facts["edges"]), facts["rate"])
     return SavedModel(
-        GBTRegressionModel.load(f"{path}/model"), facts["columns"], facts["medians"], facts["target"], codes,
+        TreeModel(fit, facts["trees"]), facts["columns"], facts["medians"], facts["target"], codes,
         facts["name"], facts["family"],
     )
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, which the driver and all executors must share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -16,12 +19,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session may have ended; the folder is only scratch
+        return
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage through the checkpoint folder of the session."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Compute once and cut the lineage: Parquet in the shared folder, deleted when the driver's Python ends.
+
+    Later reads scan the columns they use only, and the planner knows the size.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/paneloom-settled/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    atexit.register(_remove, spark, folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

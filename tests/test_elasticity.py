@@ -139,7 +139,7 @@ def _by_hand(frame, controls):
 
 
 def test_double_ml_equals_numpy(market):
-    config = dml.ElasticityConfig(min_samples=40)
+    config = dml.ElasticityConfig(nuisance="linear", min_samples=40)
     found = {r["segment_key"]: r for r in dml.elasticity_estimates(market, config).collect()}
     assert len(found) == 3 and len(found["product_id=GOOD"]) == 21
     for product in ("GOOD", "OTHER"):
@@ -156,7 +156,7 @@ def test_double_ml_equals_numpy(market):
 def test_segments_that_cannot_be_fitted_stay(market):
     holes = market.withColumn("units_sold", F.when((F.col("product_id") != "OTHER") | (F.dayofmonth("date") > 1), F.col("units_sold")))
     plain = holes.withColumns({"discount": F.when(F.col("product_id") == "GOOD", 0.1).otherwise(F.col("discount")), "inventory_level": F.when(F.col("product_id") == "GOOD", 1.0).otherwise(F.col("inventory_level"))})
-    config = dml.ElasticityConfig(min_samples=40, min_pairs=30)
+    config = dml.ElasticityConfig(nuisance="linear", min_samples=40, min_pairs=30)
     found = {r["segment_key"][11:]: (r["fit_status"], r["skip_reason"]) for r in dml.elasticity_estimates(plain, config).collect()}
     assert found["OTHER"][0] == "failed" and found["OTHER"][1].startswith("fit_failed")
     assert found["GOOD"] == ("skipped", "no_usable_controls_after_segment_filtering")
@@ -164,16 +164,16 @@ def test_segments_that_cannot_be_fitted_stay(market):
 
 def test_collinear_controls_are_flagged(market):
     double = market.withColumn("competitor_price", F.col("inventory_level") * 2)
-    row = [r for r in dml.elasticity_estimates(double, dml.ElasticityConfig(min_samples=150)).collect() if r["fit_status"] == "success"]
+    row = [r for r in dml.elasticity_estimates(double, dml.ElasticityConfig(nuisance="linear", min_samples=150)).collect() if r["fit_status"] == "success"]
     assert len(row) == 1 and row[0]["quality_status"] == "warning_inference_unstable" and row[0]["ci_caution_flag"]
-    reference = [r for r in dml.elasticity_estimates(market, dml.ElasticityConfig(min_samples=150)).collect() if r["fit_status"] == "success"]
+    reference = [r for r in dml.elasticity_estimates(market, dml.ElasticityConfig(nuisance="linear", min_samples=150)).collect() if r["fit_status"] == "success"]
     assert row[0]["elasticity_estimate"] == pytest.approx(reference[0]["elasticity_estimate"], abs=1e-6)
 
 
-def test_pooled_trees_give_residuals(market):
+def test_trees_give_residuals(market):
     keyed = elasticity.segment_key(elasticity.log_treatment(market.where("product_id <> 'BAD'")))
     ready = dml.segment_controls(keyed, ["segment_key"], ["discount", "inventory_level"])
-    for nuisance, params in (("random-forest", {"numTrees": 5}), ("gradient-boosting", {"maxIter": 3})):
+    for nuisance, params in (("random-forest", {"trees": 5}), ("gradient-boosting", {"rounds": 3})):
         made = dml.cross_fit_residuals(ready, ["segment_key"], ["discount", "inventory_level"], nuisance, params=params)
         assert made.count() == ready.count() and made.where("y_res is null or t_res is null").isEmpty()
         assert rows(made.groupBy("segment_key", "fold").count(), "segment_key", "fold") == [
@@ -183,8 +183,8 @@ def test_pooled_trees_give_residuals(market):
         dml.cross_fit_residuals(ready, ["segment_key"], ["discount"], "oracle")
 
 
-@pytest.mark.parametrize("nuisance, params", [("random-forest", {"numTrees": 20}), ("gradient-boosting", {"maxIter": 20})])
-def test_pooled_trees_find_the_sign_at_any_segment_level(market, nuisance, params):
+@pytest.mark.parametrize("nuisance, params", [("random-forest", {"trees": 20}), ("gradient-boosting", {"rounds": 20})])
+def test_trees_find_the_sign_at_any_segment_level(market, nuisance, params):
     """Segments far apart in units and price keep their own negative elasticity."""
     far = market.where("product_id <> 'BAD'").withColumns(
         {"units_sold": F.col("units_sold") * F.when(F.col("product_id") == "GOOD", 50).otherwise(1), "price": F.col("price") * F.when(F.col("product_id") == "GOOD", 20).otherwise(1)}

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from paneloom.operators import matrix, metrics, models, saved, split
+from paneloom.operators import evaluate, matrix, metrics, models, saved, split
 from paneloom.schema import PanelError
 
 from helpers import day
@@ -60,7 +60,7 @@ def test_unseen_ids_and_bad_targets(tagged):
 
 def test_trees_beat_the_mean_and_the_latest_split_is_scored(tagged):
     made = models.matrix_of(tagged)
-    fitted = models.train_gbt(made, {"maxIter": 8, "stepSize": 0.3})
+    fitted = models.train_gbt(made, {"rounds": 8, "rate": 0.3, "least": 1})
     scored = models.score(made, fitted, "gbt", "trees")
     assert scored.count() == tagged.where("split <> 'train'").count()
     error = metrics.forecast_metrics(scored).where("split = 'validation'").first()
@@ -101,12 +101,20 @@ def test_per_product_models_equal_least_squares(spark, tagged):
 
 def test_tuning_marks_one_best_trial(tagged):
     made = matrix.model_matrix(tagged)
-    small = {"maxIter": (1, 2, False), "maxDepth": (2, 3, False)}
+    small = {"rounds": (1, 2, False), "depth": (2, 3, False)}
     trials = models.tune_models(made, n_trials=2, families=["gbt"], ranges=small).collect()
     best = [t for t in trials if t["is_best"]]
     assert len(trials) == 2 and len(best) == 1
     assert best[0]["objective_value"] == min(t["objective_value"] for t in trials)
     assert models.sample_params("gbt", 3, 1) == models.sample_params("gbt", 3, 1)
+    one_by_one = models.tune_models(made, n_trials=2, families=["gbt"], ranges=small, parallelism=1).collect()
+    assert sorted(map(tuple, one_by_one)) == sorted(map(tuple, trials))
+    params = models.best_params(models.tune_models(made, n_trials=2, families=["gbt"], ranges=small), "gbt")
+    assert models.boosting_of("gbt", params).rounds == params["rounds"] and set(params) == set(models.FAMILIES["gbt"])
+    assert len(models.train_gbt(made, params).fit.parts) >= 1
+    for wrong in ({"depth": 40}, {"rounds": 0}, {"leaves": 3}):
+        with pytest.raises(PanelError, match="arameter"):
+            models.boosting_of("gbt", wrong)
     with pytest.raises(PanelError, match="n_trials"):
         models.tune_models(made, n_trials=0)
 
@@ -116,7 +124,7 @@ def test_a_failed_trial_does_not_end_the_search(tagged, monkeypatch):
     real = models._fit
 
     def sometimes(matrix_, family, params, seed):
-        return real(matrix_, family, {"maxIter": 1, "maxBins": 1 if family == "gbt_deep" else 32}, seed)
+        return real(matrix_, family, {"rounds": 1, "depth": 0 if family == "gbt_deep" else 3}, seed)
 
     monkeypatch.setattr(models, "_fit", sometimes)
     trials = {t["model_name"]: t for t in models.tune_models(made, n_trials=1).collect()}
@@ -133,7 +141,7 @@ def test_a_failed_trial_does_not_end_the_search(tagged, monkeypatch):
 
 def test_a_saved_model_scores_new_rows_like_the_fitted_one(spark, tagged, tmp_path):
     made = models.matrix_of(tagged)
-    fitted = models.train_gbt(made, {"maxIter": 3})
+    fitted = models.train_gbt(made, {"rounds": 3})
     run = saved.save_model(made, fitted, "gbt", "trees", str(tmp_path / "m"), "2024-05-01T00:00:00")
     again = saved.load_model(spark, str(tmp_path / "m"))
     assert again.columns == made.columns and again.medians == made.medians
@@ -154,6 +162,35 @@ def test_tune_query_searches_all_trials_and_ranges(monkeypatch):
     seen = []
     monkeypatch.setattr(queries, "model_frame", lambda spark, folder: "feature table")
     monkeypatch.setattr(models, "matrix_of", lambda df: ("matrix", df))
-    monkeypatch.setattr(models, "tune_models", lambda *given, **more: seen.append((given, more)))
-    queries.q_tune_models(None, "")
+
+    def search(*given, **more):
+        seen.append((given, more))
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "tune_models", search)
+    with pytest.raises(InterruptedError):
+        queries.q_tune_models(None, "")
     assert seen == [((("matrix", "feature table"),), {})]
+
+
+def test_all_candidates_are_evaluated_and_products_get_their_winner(spark, tagged):
+    found = evaluate.evaluate_models(tagged, params={"gbt": {"rounds": 5}, "gbt_deep": {"rounds": 4}})
+    held_out = tagged.where("split <> 'train'").count()
+    counts = {r["model_name"]: r["count"] for r in found.predictions.groupBy("model_name").count().collect()}
+    assert set(counts.values()) == {held_out} and len(counts) == 8
+    assert found.predictions.where("prediction is null or isnan(prediction)").isEmpty()
+    table = found.predictions.where("split = 'validation'").toPandas()
+    table["size"] = table["prediction_abs_error"]
+    best = {p: g.groupby("model_name")["size"].sum().idxmin() for p, g in table.groupby("product_id")}
+    forecast = evaluate.forecast_by_segment(found.predictions, found.registry).collect()
+    assert len(forecast) == tagged.where("split = 'test'").count()
+    assert all(r["model_name"] == best[r["product_id"]] and r["source_split"] == "test" for r in forecast)
+    other = found.registry.where("scope = 'overall' or segment_key like '%P1'").withColumn(
+        "model_name", F.when(F.col("scope") == "overall", "naive_last").otherwise("gbt")
+    )
+    chosen = {(r["product_id"], r["model_name"]) for r in evaluate.forecast_by_segment(found.predictions.where("split = 'validation'"), other).collect()}
+    assert chosen == {("P1", "gbt"), ("P2", "naive_last")}
+    with pytest.raises(PanelError, match="overall"):
+        evaluate.forecast_by_segment(found.predictions, other.where("scope <> 'overall'"))
+    with pytest.raises(PanelError, match="Unsupported"):
+        evaluate.evaluate_models(tagged, params={"forest": {}})
