@@ -1,13 +1,15 @@
-"""Near-duplicate embeddings through lists of nearest pivots.
+"""Near-duplicate embeddings through a pivot-permutation index.
 
-Pivots are the positive and negative axes of random rotations, so they are spread out whatever the vectors are. A
-table is one or more rotations, and a vector is listed under its nearest pivot of each. How often two vectors
-meet depends on their angle only, not on their number or on how dense the place is that they lie in. There
-are as many tables as pairs at the threshold need to meet. Pairs that meet are verified by the cosine.
+Pivots are the positive and negative axes of random rotations, so they are spread out whatever the vectors are. A vector is
+described by the pivots nearest to it, in order, PREFIX of each rotation. Inverted lists hold the vectors that have SHARED pivots of a
+rotation in common, so vectors that meet have a shared-pivot count of SHARED at least, and each
+pair is verified by the cosine once, in the first list that it shares. How often two vectors meet depends on their
+angle only, not on their number or on how dense the place is that they lie in, and neither does the index.
 """
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,9 @@ from paneloom.llm.tables import complete_runs, save, small_batches
 
 THRESHOLD = 0.95
 RECALL = 0.99  # share of pairs at the threshold that must meet
-SEED, SAMPLED_PAIRS = 42, 8192  # of the rotations, and pairs at the threshold that the number of tables is measured on
-MOST_PIVOT_AXES, MOST_TABLES = 256, 64
+SEED, SAMPLED_PAIRS = 42, 4096  # of the rotations, and pairs at the threshold that the number of rotations is measured on
+MOST_PIVOT_AXES, MOST_ROTATIONS = 256, 64
+PREFIX, SHARED = 3, 2  # nearest pivots of a rotation that describe a vector, and how many of them two candidates share
 BLOCK = 1024  # members of a list that one task compares with another such block
 ROW = "cls long, weight long, keys array<long>, embedding array<double>"
 
@@ -38,24 +41,47 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=256)
-def pivot_axes(size: int, table: int, level: int) -> np.ndarray:
+def pivot_axes(size: int, rotation: int) -> np.ndarray:
     """Orthonormal columns; they and their negatives are the pivots of one rotation."""
-    draws = np.random.default_rng([SEED, size, table, level]).normal(size=(size, min(size, MOST_PIVOT_AXES)))
+    draws = np.random.default_rng([SEED, size, rotation]).normal(size=(size, min(size, MOST_PIVOT_AXES)))
     return np.linalg.qr(draws)[0]
 
 
-def pivot_keys(units: np.ndarray, tables: int, depth: int) -> np.ndarray:
-    """For each unit vector and table the numbers of the nearest pivots of `depth` rotations, as one number."""
-    keys = np.zeros((len(units), tables), np.int64)
+def nearest_pivots(units: np.ndarray, rotation: int) -> np.ndarray:
+    """For each unit vector the numbers of its nearest pivots of a rotation, nearest first."""
+    along = units @ pivot_axes(units.shape[1], rotation)
+    axes = np.argsort(-np.abs(along), axis=1, kind="stable")[:, :PREFIX]
+    return 2 * axes + (np.take_along_axis(along, axes, 1) > 0)
+
+
+def list_numbers(units: np.ndarray, rotations: int) -> np.ndarray:
+    """For each unit vector the lists it stands in: every SHARED of its nearest pivots of each rotation.
+
+    A number holds the rotation, then the pivots in rising order, so a rotation's lists follow one another.
+    """
+    found = []
     for start in range(0, len(units), 1024):
         part = units[start : start + 1024]
-        for table in range(tables):
-            for level in range(depth):
-                along = part @ pivot_axes(units.shape[1], table, level)
-                axis = np.abs(along).argmax(axis=1)
-                side = along[np.arange(len(part)), axis] > 0
-                keys[start : start + 1024, table] = keys[start : start + 1024, table] * 2 * along.shape[1] + 2 * axis + side
-    return keys
+        columns = []
+        for rotation in range(rotations):
+            pivots = np.sort(nearest_pivots(part, rotation), axis=1)
+            for chosen in combinations(range(pivots.shape[1]), min(SHARED, pivots.shape[1])):
+                number = np.full(len(part), rotation)
+                for place in chosen:
+                    number = number * 2 * MOST_PIVOT_AXES + pivots[:, place]
+                columns.append(number)
+        found.append(np.stack(columns, axis=1))
+    return np.concatenate(found)
+
+
+def lists_a_rotation(size: int) -> int:
+    pivots = min(PREFIX, size, MOST_PIVOT_AXES)
+    return len(list(combinations(range(pivots), min(SHARED, pivots))))
+
+
+def in_common(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """For pairs of rows of list numbers whether they share a list."""
+    return (one[:, :, None] == other[:, None, :]).any(axis=(1, 2))
 
 
 def pairs_at(cosine: float, size: int, n: int = SAMPLED_PAIRS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,42 +93,33 @@ def pairs_at(cosine: float, size: int, n: int = SAMPLED_PAIRS) -> tuple[np.ndarr
     return one, cosine * one + np.sqrt(max(0.0, 1 - cosine * cosine)) * other
 
 
-def tables_for(size: int, n: int, threshold: float, recall: float) -> tuple[int, int]:
-    """(tables, rotations of each) for `n` vectors of a length; no table means that all pairs are compared.
-
-    Rotations are as many as even data needs for lists of at most BLOCK members.
-    """
-    cells = 2 * min(size, MOST_PIVOT_AXES)
-    depth = 0
-    while size > 1 and n > BLOCK * cells**depth:
-        depth += 1
-    one, other = pairs_at(threshold, size) if depth else (None, None)
-    for levels in range(depth, 0, -1):
-        for tables in (8, MOST_TABLES):
-            met = np.logical_or.accumulate(pivot_keys(one, tables, levels) == pivot_keys(other, tables, levels), axis=1).mean(axis=0)
-            if met[-1] >= recall:
-                return int(np.argmax(met >= recall)) + 1, levels
-    return 0, 0
-
-
-def choose_tables(classes: DataFrame, threshold: float, recall: float) -> dict[int, tuple[int, int]]:
-    """`tables_for` each of the commonest vector lengths."""
-    sizes = classes.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").limit(64).collect()
-    return {size: tables_for(size, n, threshold, recall) for size, n in sizes}
+@lru_cache(maxsize=1024)
+def rotations_for(size: int, threshold: float, recall: float) -> int:
+    """The fewest rotations in which a share `recall` of pairs at the threshold meets; none if MOST_ROTATIONS don't do."""
+    one, other = pairs_at(threshold, size)
+    met = np.zeros(len(one), bool)
+    each = lists_a_rotation(size)
+    for rotations in range(1, MOST_ROTATIONS + 1):
+        met[~met] = in_common(*(list_numbers(x[~met], rotations)[:, -each:] for x in (one, other)))
+        if met.mean() >= recall:
+            return rotations
+    return 0
 
 
-def _describe(chosen: dict[int, tuple[int, int]]):
-    """Adds the keys of each vector; a vector of a length without tables has none."""
+def _describe(threshold: float, recall: float, all_pairs: bool):
+    """Adds the lists of each vector; without an index a vector is in one list with all of its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             embeddings = batch.column("embedding").to_pylist()
             keys: list[list[int]] = [[]] * len(embeddings)
-            for size in {len(e) for e in embeddings} & chosen.keys():
-                rows = [i for i, e in enumerate(embeddings) if len(e) == size]
-                found = pivot_keys(unit_rows(np.array([embeddings[i] for i in rows], dtype=np.float64)), *chosen[size])
-                for i, own in zip(rows, found.tolist()):
-                    keys[i] = own
+            for size in {len(e) for e in embeddings}:
+                rotations = 0 if all_pairs else rotations_for(size, threshold, recall)
+                if rotations:
+                    rows = [i for i, e in enumerate(embeddings) if len(e) == size]
+                    found = list_numbers(unit_rows(np.array([embeddings[i] for i in rows], dtype=np.float64)), rotations)
+                    for i, own in zip(rows, found.tolist()):
+                        keys[i] = own
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cls"), batch.column("weight"), pa.array(keys, pa.list_(pa.int64())), batch.column("embedding")],
                 names=["cls", "weight", "keys", "embedding"],
@@ -112,28 +129,55 @@ def _describe(chosen: dict[int, tuple[int, int]]):
 
 
 def list_keys(keys: Column, size: Column) -> Column:
-    """The lists of a vector: table p and key q of each; one list for all of a length without tables."""
-    own = F.transform(keys, lambda key, table: F.struct(size.alias("size"), table.cast("long").alias("p"), key.alias("q")))
-    whole = F.array(F.struct(size.alias("size"), F.lit(-1).cast("long").alias("p"), F.lit(-1).cast("long").alias("q")))
-    return F.when(F.size(keys) == 0, whole).otherwise(own)
+    """The lists of a vector; number -1 for the one list of all vectors of a length."""
+    own = F.transform(keys, lambda key: F.struct(size.alias("size"), key.alias("q")))
+    return F.when(F.size(keys) == 0, F.array(F.struct(size.alias("size"), F.lit(-1).cast("long").alias("q")))).otherwise(own)
+
+
+def _met_before(keys: list[np.ndarray], q: int, each: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows share a list before list q; rotations are compared one by one."""
+    met = np.zeros(len(i), bool)
+    for start in range(0, keys[0].shape[1], each):
+        for a in range(start, start + each):
+            one = keys[0][i, a]
+            for b in range(start, start + each):
+                met |= (one == keys[-1][j, b]) & (one < q)
+    return met
+
+
+def _settled(keys: np.ndarray, q: int, each: int) -> np.ndarray:
+    """Rows with equal non-negative numbers have met before list q, so their pairs need no comparison.
+
+    Rows with the same pivots of the first rotation share its first list.
+    """
+    _, number = np.unique(keys[:, 0] * (1 << 32) + keys[:, each - 1], return_inverse=True)
+    return np.where(keys[:, 0] < q, number, -1)
 
 
-def _pairs(tables: list[pa.Table], p: int, threshold: float):
-    """Linked (i, j) rows of two tables, or of one with i < j, that a list of table p answers for (below 0: of all)."""
+def _pairs(tables: list[pa.Table], q: int, threshold: float):
+    """Linked (i, j) rows of two tables, or of one with i < j, that list q answers for (-1: of all)."""
     units = [unit_rows(np.array(t.column("embedding").to_pylist(), dtype=np.float64)) for t in tables]
-    keys = [np.array(t.column("keys").to_pylist()) for t in tables]
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for start in range(0, len(units[0]), 256):
-        part = units[0][start : start + 256]
-        close = part @ units[-1].T >= threshold
+    each = lists_a_rotation(units[0].shape[1])
+    if q >= 0:
+        keys = [np.array(t.column("keys").to_pylist()) for t in tables]
+        together = _settled(np.concatenate(keys), q, each)
+        known = [together[: len(units[0])], together[-len(units[-1]) :]]
+    else:
+        known = [np.full(len(u), -1) for u in units]
+    order = np.argsort(known[0], kind="stable")
+    for start in range(0, len(order), 256):
+        rows = order[start : start + 256]
+        first = known[0][rows[0]]
+        alike = first >= 0 and first == known[0][rows[-1]]
+        columns = np.flatnonzero(known[-1] != first) if alike else np.arange(len(units[-1]))
+        i, j = np.nonzero(units[0][rows] @ units[-1][columns].T >= threshold)
+        i, j = rows[i], columns[j]
         if len(tables) == 1:
-            close &= np.arange(start, start + len(part))[:, None] < np.arange(len(units[0]))[None, :]
-        i, j = np.nonzero(close)
-        i = i + start
-        if len(i) and p > 0:
-            # A pair belongs to the first table that it meets in, so it is counted once.
-            first = ~(keys[0][i, :p] == keys[-1][j, :p]).any(axis=1)
-            i, j = i[first], j[first]
+            i, j = i[i < j], j[i < j]
+        if len(i) and q >= 0:
+            once = ~_met_before(keys, q, each, i, j)
+            i, j = i[once], j[once]
         found.append((i, j))
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -149,7 +193,7 @@ def _verify(threshold: float):
         if len(tables) == 2 or not first["crossed"]:
             ids = [t.column("cls").to_numpy() for t in tables]
             weights = [t.column("weight").to_numpy() for t in tables]
-            i, j = _pairs(tables, first["p"], threshold)
+            i, j = _pairs(tables, first["q"], threshold)
             nodes, at = np.unique(np.concatenate([ids[0][i], ids[-1][j]]), return_inverse=True)
             n = np.zeros(len(nodes), np.int64)
             np.add.at(n, at, np.concatenate([weights[-1][j], weights[0][i]]))
@@ -161,7 +205,7 @@ def _verify(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in complete_runs(batches, "unit", 1 << 62):
-            names = [table.column(c).to_numpy() for c in ("unit", "size", "p", "q", "one", "two")]
+            names = [table.column(c).to_numpy() for c in ("unit", "size", "q", "one", "two")]
             edges = np.flatnonzero(np.any([np.diff(x) != 0 for x in names], axis=0)) + 1
             for begin, end in zip(np.r_[0, edges], np.r_[edges, table.num_rows]):
                 if end - begin > 1:
@@ -173,9 +217,9 @@ def _verify(threshold: float):
 def _dealt(described: DataFrame) -> DataFrame:
     """Members of every list, lists of over BLOCK members as pairs of blocks; sorted by unit of work."""
     keyed = described.withColumn("key", F.explode(list_keys(F.col("keys"), F.size("embedding")))).select("*", "key.*").drop("key")
-    blocks = keyed.groupBy("size", "p", "q").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = keyed.groupBy("size", "q").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     large = save(blocks.where("blocks > 1"))  # at most one in BLOCK list entries
-    joined = keyed.join(large, ["size", "p", "q"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    joined = keyed.join(large, ["size", "q"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     pairs = joined.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
@@ -183,22 +227,24 @@ def _dealt(described: DataFrame) -> DataFrame:
         {
             "side": F.when(F.col("own") == F.col("one"), 0).otherwise(1),
             "crossed": F.col("one") != F.col("two"),
-            "unit": F.xxhash64("size", "p", "q", "one", "two"),
+            "unit": F.xxhash64("size", "q", "one", "two"),
         }
     ).drop("own", "other", "blocks")
-    return pairs.repartition("unit").sortWithinPartitions("unit", "size", "p", "q", "one", "two")
+    return pairs.repartition("unit").sortWithinPartitions("unit", "size", "q", "one", "two")
 
 
 def embedding_groups(
-    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_column: str = "vec_id", vector_column: str = "embedding"
+    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_column: str = "vec_id", vector_column: str = "embedding",
+    all_pairs: bool = False,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Equal vectors form a class first, so copies cost one row per partition. Classes are described
-    by pivots, all are listed, and a list of over BLOCK members is compared in
+    by their nearest pivots and listed, and a list of over BLOCK members is compared in
     pairs of blocks by many tasks. Lists give link counts and the smallest class of each linked
     group, not pairs. Pairs below the threshold are never linked; of pairs at the threshold `recall` are found,
-    of closer ones more. Up to BLOCK classes of one length are compared pair by pair, hence without loss.
+    of closer ones more. The index is the same for any number of vectors, so more rows change no link of those there were.
+    With `all_pairs`, and where no number of rotations reaches the recall, all vectors of a length are compared.
 
     Vectors that are null, zero or hold null or non-finite components link with nothing, vectors
     of different lengths don't link with each other. Repeated rows are vectors of their own. Rows with a null id take
@@ -209,7 +255,7 @@ def embedding_groups(
     linkable = rows.where(usable(F.col("embedding")))
     classes = linkable.groupBy("embedding").agg(F.min("vec_id").alias("low_id"), F.count(F.lit(1)).alias("weight"))
     classes = save(classes.withColumn("cls", F.monotonically_increasing_id()))
-    described = classes.select("cls", "weight", "embedding").mapInArrow(_describe(choose_tables(classes, threshold, recall)), ROW)
+    described = classes.select("cls", "weight", "embedding").mapInArrow(_describe(threshold, recall, all_pairs), ROW)
     found = save(_dealt(save(described)).mapInArrow(_verify(threshold), "cls long, n long, low long"))
     parts = connected_components(found.where("low <> cls"), "cls", "low").withColumnsRenamed({"node": "cls"})
     links = found.groupBy("cls").agg(F.sum("n").alias("n"))

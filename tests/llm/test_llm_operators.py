@@ -530,18 +530,43 @@ def test_embedding_links_and_recall(spark, monkeypatch, block):
     assert all(rows[i].kept == (rows[i].component_id == i) for i in rows)
 
 
-@pytest.mark.parametrize("size", [64, 256])
-@pytest.mark.parametrize("n", [10_256, 65_536, 1_000_000, 16_777_216])
-def test_embedding_recall_at_other_sizes(size, n):
-    """Share of pairs just at the threshold that meet under the tables chosen for n vectors; not the pairs they were chosen on."""
-    tables, depth = embedding_dedup.tables_for(size, n, 0.95, 0.99)
-    rng = np.random.default_rng(n + size)
+@pytest.mark.parametrize("size", [2, 3, 16, 64, 256, 700])
+def test_embedding_recall_at_the_threshold(size):
+    """Share of pairs just at the threshold that meet, whatever the number of vectors; not the pairs that rotations were counted on."""
+    rotations = embedding_dedup.rotations_for(size, 0.95, 0.99)
+    rng = np.random.default_rng(size)
     one = embedding_dedup.unit_rows(rng.normal(size=(4000, size)))
     noise = rng.normal(size=one.shape)
     noise = embedding_dedup.unit_rows(noise - (noise * one).sum(axis=1, keepdims=True) * one)
     other = 0.95 * one + np.sqrt(1 - 0.95**2) * noise
-    met = (embedding_dedup.pivot_keys(one, tables, depth) == embedding_dedup.pivot_keys(other, tables, depth)).any(axis=1)
-    assert tables and met.mean() >= 0.98
+    assert rotations and embedding_dedup.in_common(*(embedding_dedup.list_numbers(x, rotations) for x in (one, other))).mean() >= 0.98
+
+
+def test_vectors_that_meet_share_pivots_in_order_of_nearness():
+    rng = np.random.default_rng(7)
+    units = embedding_dedup.unit_rows(rng.normal(size=(400, 16)))
+    axes = embedding_dedup.pivot_axes(16, 1)
+    every = np.stack([-(units @ axes), units @ axes], axis=2).reshape(len(units), -1)  # cosine to pivot 2 * axis + side
+    assert (embedding_dedup.nearest_pivots(units, 1) == np.argsort(-every, axis=1)[:, :3]).all()
+    lists = embedding_dedup.list_numbers(units, 2)
+    prefixes = [embedding_dedup.nearest_pivots(units, r) for r in range(2)]
+    for i in range(0, 60):
+        for j in range(i + 1, 400):
+            counts = [len(set(p[i]) & set(p[j])) for p in prefixes]
+            assert (max(counts) >= 2) == bool(set(lists[i]) & set(lists[j]))
+
+
+def test_more_vectors_change_no_earlier_link(spark):
+    vectors = planted(600, 24, 3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    few = {r.vec_id: r.component_id for r in embedding_dedup.embedding_groups(df.where("vec_id < 900")).collect()}
+    exact = {r.vec_id: r.n_links for r in embedding_dedup.embedding_groups(df, all_pairs=True).collect()}
+    close = brute_links(vectors)
+    np.fill_diagonal(close, False)
+    assert exact == {i: int(n) for i, n in enumerate(close.sum(axis=1))}
+    more = {r.vec_id: r.component_id for r in embedding_dedup.embedding_groups(df).collect()}
+    linked = {i for i in few if few[i] != i}
+    assert linked and all(more[i] == more[few[i]] for i in linked)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -571,12 +596,21 @@ def test_embeddings_that_link_with_nothing(spark):
 
 
 @given
-def test_embedding_recall_on_the_table(spark):
-    table = read(spark, "embeddings").collect()
-    close = brute_links([r.embedding for r in table])
+def test_embedding_recall_on_the_table_with_planted_links(spark):
+    """The given vectors, and for each an altered one at cosines of about 0.95 to 0.99."""
+    table = sorted(read(spark, "embeddings").collect(), key=lambda r: r.vec_id)
+    rng = np.random.default_rng(4)
+    unit = embedding_dedup.unit_rows(np.array([r.embedding for r in table], dtype=float))
+    noise = rng.normal(size=unit.shape)
+    noise = embedding_dedup.unit_rows(noise - (noise * unit).sum(axis=1, keepdims=True) * unit)
+    cosine = rng.uniform(0.951, 0.99, (len(unit), 1))
+    vectors = np.concatenate([unit, cosine * unit + np.sqrt(1 - cosine**2) * noise])
+    close = brute_links(vectors)
     np.fill_diagonal(close, False)
-    got = {r.vec_id: r.n_links for r in llm_queries()["op10_embedding_dedup"](spark, FOLDER).collect()}
-    assert sum(got.values()) >= 0.9 * close.sum()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.embedding_groups(df).collect()}
+    want = close.sum(axis=1)
+    assert want.sum() >= 2 * len(unit) and all(got[i] <= want[i] for i in got) and sum(got.values()) >= 0.98 * want.sum()
 
 
 # ------------------------------------------------------------------------------------------ queries
