@@ -25,7 +25,7 @@ SCALE, PRIOR = 1_000_000_000, 2  # shares are in billionths, after PRIOR more oc
 SPILL_BYTES = 96 << 20  # estimated size of a task's stripes before they are spilled
 STRIPE_BYTES, ENTRY_BYTES, TERMS_A_BATCH = 420, 110, 16_384
 TILE = 256  # sources of one side of a unit of pairs
-CELLS = 1 << 22  # (term, source) cells of one unit, about
+CELLS = 1 << 16  # (term, source) cells of one unit, about
 
 # The stripe of the empty term, which no text holds, counts the documents of each source.
 STRIPE = "lang string, term string, docs long, sources array<string>, counts array<long>"
@@ -188,7 +188,7 @@ def _unit_pairs(stripes: pa.Table, sources: pa.Table) -> pa.Table:
     at_zero = _distance(zero[left][:, None], zero[right][None, :])
     value = at_zero * (head["terms"] if head["chunk"] == 0 else 0)
     index = {s: i for i, s in enumerate(names)}
-    rows = max(1, (CELLS // 4) // max(1, len(names), len(left) * len(right)))
+    rows = max(1, (1 << 20) // max(1, len(names), len(left) * len(right)))
     for start in range(0, stripes.num_rows, rows):
         part = stripes.slice(start, rows)
         counts = np.zeros((part.num_rows, len(names)), np.int64)

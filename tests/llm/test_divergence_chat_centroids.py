@@ -269,7 +269,7 @@ def test_few_equal_large_and_no_vectors(spark):
         ([(1, [1.0, 2.0])], 2),
         ([(i, [0.5, -0.5]) for i in range(20)], 2),
         ([(i, [float(i), 0.0]) for i in (0, 2, 1)], 2),
-        ([(i, [(-1) ** i * 100_000.0 + i * 0.01, 130_000.0 * (i % 3)]) for i in range(40)], 2),
+        ([(i, [(-1) ** i * 100_000.0 + i * 0.01, 60_000.0 * (i % 3)]) for i in range(40)], 2),
     ):
         assert found(centroids.cluster_vectors(vectors(spark, rows), size=size)) == lloyd(rows, size)
     empty = vectors(spark, [(1, None)])
