@@ -117,9 +117,7 @@ def q_canonical_sort(spark, folder):
 
 
 def q_data_summary(spark, folder):
-    typed = clean.standardize(raw_sales(spark, folder), check=False)
-    cleaned = clean.drop_exact_duplicates(typed)
-    return rounded(clean.data_summary(cleaned, raw=typed), "zero_demand_rate")
+    return rounded(clean.data_summary(clean.standardize(raw_sales(spark, folder)), distinct=True), "zero_demand_rate")
 
 
 def q_clean_sales(spark, folder):
@@ -275,7 +273,7 @@ def q_trim_warmup(spark, folder):
 
 
 def q_manual_features(spark, folder):
-    return _rounded_features(features.manual_features(panel(spark, folder), check=False))
+    return _rounded_features(features.manual_features(panel(spark, folder)))
 
 
 def q_create_features_compat(spark, folder):
@@ -286,7 +284,7 @@ def q_create_features_compat(spark, folder):
 
 def q_feature_summary(spark, folder):
     base = panel(spark, folder)
-    return features.feature_summary(base, features.manual_features(base, check=False))
+    return features.feature_summary(base, features.manual_features(base))
 
 
 # ---------------------------------------------------------------- declared features
@@ -456,7 +454,7 @@ def q_latest_models(spark, folder):
 
 def model_frame(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table, computed once."""
-    return settle(split.chronological_split(features.manual_features(panel(spark, folder), check=False)))
+    return split.chronological_split(features.manual_features(panel(spark, folder)))
 
 
 def q_encode_identifiers(spark, folder):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ LEAST_DOCS = 10  # a term counts in a language if so many of its documents hold
 TOP_TERMS = 10
 SCALE, PRIOR = 1_000_000_000, 2  # shares are in billionths, after PRIOR more occurrences of every term
 
-SPILL_BYTES = 96 << 20  # estimated size of a task's stripes before they are spilled
+SPILL_BYTES = 128 << 20  # estimated size of a task's stripes before they are spilled
 STRIPE_BYTES, ENTRY_BYTES, TERMS_A_BATCH = 420, 110, 16_384
 TILE = 256  # sources of one side of a unit of pairs
 CELLS = 1 << 16  # (term, source) cells of one unit, about
@@ -34,14 +35,8 @@ STRIPE = "lang string, term string, docs long, sources array<string>, counts arr
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
-def _batch(lang: list, term: list, docs: list, sources: list, counts: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(lang, pa.binary()).view(pa.string()), pa.array(term, pa.binary()).view(pa.string()), pa.array(docs, pa.int64()),
-            pa.array(sources, pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64())),
-        ],
-        names=["lang", "term", "docs", "sources", "counts"],
-    )
+def _texts(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).view(pa.string())
 
 
 def _spill(stripes: dict[bytes, dict[bytes, dict]]) -> Iterator[pa.RecordBatch]:
@@ -49,8 +44,17 @@ def _spill(stripes: dict[bytes, dict[bytes, dict]]) -> Iterator[pa.RecordBatch]:
         terms = list(own)
         for start in range(0, len(terms), TERMS_A_BATCH):
             part = terms[start : start + TERMS_A_BATCH]
-            docs = [own[t].pop(None) for t in part]
-            yield _batch([lang] * len(part), part, docs, [list(own[t]) for t in part], [list(own[t].values()) for t in part])
+            held = [own[t] for t in part]
+            docs = [stripe.pop(None) for stripe in held]
+            offsets = pa.array(np.cumsum([0, *map(len, held)]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _texts([lang] * len(part)), _texts(part), pa.array(docs, pa.int64()),
+                    pa.ListArray.from_arrays(offsets, _texts(list(chain.from_iterable(held)))),
+                    pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(map(dict.values, held))), pa.int64())),
+                ],
+                names=["lang", "term", "docs", "sources", "counts"],
+            )
     stripes.clear()
 
 
@@ -148,7 +152,10 @@ def term_stripes(
     small_batches(docs.sparkSession)
     clean = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_column, "lang"), (source_column, "source"), (text_column, "text"))))
     folded = clean.mapInArrow(_fold, STRIPE)
-    return folded.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(_merge(least_docs), STRIPE)
+    # Sorted by a hash first, which is cheap to compare; language and term tell equal hashes apart.
+    keyed = folded.withColumn("key", F.xxhash64("lang", "term"))
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "lang", "term").drop("key")
+    return dealt.mapInArrow(_merge(least_docs), STRIPE)
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.functions.scalars import as_boolean, as_date, as_double, check_log_domain, log_offset, stripped
+from paneloom.operators.scaling import settle_observed
 from paneloom.schema import (
     ALIASES,
     BASE_COLUMNS,
@@ -101,15 +102,20 @@ def validation_report(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFr
     return _canonical(df, date_formats).agg(*_check_columns())
 
 
+def _raise_first(found: dict) -> None:
+    for name, message in _MESSAGES.items():
+        if found[name]:
+            raise PanelError(message.format(found[name]))
+
+
 def standardize(df: DataFrame, date_formats: Sequence[str] = (), check: bool = True) -> DataFrame:
-    """Canonical names and types. With `check`, one aggregate pass raises the first broken rule."""
+    """Canonical names and types. With `check`, the table is written once, and the first rule found broken on the way is raised."""
     typed = _canonical(df, date_formats)
-    if check:
-        found = typed.agg(*_check_columns()).first()
-        for name, message in _MESSAGES.items():
-            if found[name]:
-                raise PanelError(message.format(found[name]))
-    return typed
+    if not check:
+        return typed
+    settled, found = settle_observed(typed, _check_columns())
+    _raise_first(found)
+    return settled
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -122,23 +128,29 @@ def canonical_sort(df: DataFrame) -> DataFrame:
     return df.orderBy(STORE, PRODUCT, DATE)
 
 
-def data_summary(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+def data_summary(df: DataFrame, raw: DataFrame | None = None, distinct: bool = False) -> DataFrame:
     """One row: size, date range, distinct ids, zero-demand rate and NULL count per column.
 
     Figures are first combined per series and then over the series, so the distinct counts run on
     one row per series and the table is read once. `raw` is the table before duplicate removal; its
-    surplus rows are the duplicates removed.
+    surplus rows are the duplicates removed. With `distinct`, `df` itself may hold duplicates: the figures are those of its
+    distinct rows, and copies are counted as they are combined.
     """
     nulls = {f"missing_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
-    per_series = df.groupBy(STORE, PRODUCT).agg(
+    source, copies = df, F.lit(1)
+    if distinct:
+        source, copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies")), F.col("__copies")
+    per_series = source.groupBy(STORE, PRODUCT).agg(
         F.count(F.lit(1)).alias("n"),
+        F.sum(copies).alias("all"),
         F.min(DATE).alias("first"),
         F.max(DATE).alias("last"),
         F.count_if(F.col(UNITS) == 0).alias("zeros"),
         *[count.alias(name) for name, count in nulls.items()],
     )
     rows = F.coalesce(F.sum("n"), F.lit(0))
-    summary = per_series.agg(
+    before = F.coalesce(F.sum("all"), F.lit(0)) if raw is None else raw.agg(F.count(F.lit(1))).scalar()
+    return per_series.agg(
         rows.alias("total_row_count"),
         F.lit(len(df.columns)).cast("long").alias("total_column_count"),
         F.min("first").alias("min_date"),
@@ -148,14 +160,21 @@ def data_summary(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
         F.count_distinct(PRODUCT).alias("number_of_products"),
         F.lit(",".join(sorted(set(OPTIONAL_COLUMNS) & set(df.columns)))).alias("optional_columns_detected"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in nulls],
+        (before - rows).alias("duplicate_row_count_removed"),
     )
-    before = raw.agg(F.count(F.lit(1))).scalar() if raw is not None else F.col("total_row_count")
-    return summary.withColumn("duplicate_row_count_removed", before - F.col("total_row_count"))
 
 
 def clean_sales(df: DataFrame, date_formats: Sequence[str] = (), check: bool = True) -> DataFrame:
-    """Standardized rows without exact duplicates. Use `canonical_sort` before writing in order."""
-    return drop_exact_duplicates(standardize(df, date_formats, check))
+    """Standardized rows without exact duplicates. Use `canonical_sort` before writing in order.
+
+    With `check`, typing, rules and the removal of copies are one pass that writes the result.
+    """
+    typed = _canonical(df, date_formats)
+    if not check:
+        return drop_exact_duplicates(typed)
+    settled, found = settle_observed(typed, _check_columns(), drop_exact_duplicates)
+    _raise_first(found)
+    return settled
 
 
 def safe_log(df: DataFrame, columns: dict[str, str], epsilon: float) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paneloom.functions.scalars import as_date, as_double, calendar_part, clean_binary, safe_ratio, stripped
 from paneloom.operators.quantiles import exact_medians
-from paneloom.operators.scaling import dense_codes, join_same
+from paneloom.operators.scaling import dense_codes, join_same, settle
 from paneloom.operators.windows import (
     Lookback,
     add_lookbacks,
@@ -85,7 +85,14 @@ def _passed_on(df: DataFrame) -> list[str]:
 def _check_numeric(df: DataFrame, columns: Sequence[str]) -> None:
     if not columns:
         return
-    bad = df.agg(*[F.count_if(as_double(df, c).isNull()).alias(c) for c in columns]).first()
+    _raise_missing(columns, df.agg(*_missing_numbers(df, columns)).first().asDict())
+
+
+def _missing_numbers(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(as_double(df, c).isNull()).alias(c) for c in columns]
+
+
+def _raise_missing(columns: Sequence[str], bad: dict) -> None:
     for name in columns:
         if bad[name]:
             raise PanelError(f"Column '{name}' contains {bad[name]} non-numeric values that cannot be coerced")
@@ -187,15 +194,16 @@ def manual_features(
 ) -> DataFrame:
     """Base columns and every feature the present columns allow, without warm-up rows.
 
-    With `check`, one pass rejects missing numbers and a table too short for 28-row history.
+    With `check`, the features are written once; missing numbers, counted in that pass, and a table too short for 28-row
+    history are errors.
     """
     require_columns(df, BASE_COLUMNS, "Feature input")
     numeric = [UNITS, PRICE, *_passed_on(df)] + [
         c for c in ("inventory_level", "competitor_price") if c in df.columns
     ]
-    if check:
-        _check_numeric(df, numeric)
-    frame = df.withColumns(
+    seen = Observation()
+    source = df.observe(seen, *_missing_numbers(df, numeric)) if check else df
+    frame = source.withColumns(
         {DATE: as_date(df, DATE), STORE: stripped(F.col(STORE)), PRODUCT: stripped(F.col(PRODUCT))}
         | {c: as_double(df, c) for c in numeric}
     )
@@ -203,7 +211,7 @@ def manual_features(
     lookbacks = _demand_lookbacks() | _price_lookbacks() | (_inventory_lookbacks() if stocked else {})
     result = calendar_features(add_lookbacks(frame, lookbacks)).withColumns(_price_derived())
     if stocked:
-        median = exact_medians(frame, ["inventory_level"]).scalar()
+        median = exact_medians(df.select(as_double(df, "inventory_level").alias("inventory_level")), ["inventory_level"]).scalar()
         result = result.withColumns(_inventory_derived(median))
     result = exogenous_features(result, check=False)
     if "weather" in df.columns:
@@ -211,8 +219,11 @@ def manual_features(
     features = result.select(*dict.fromkeys([*BASE_COLUMNS, *generated_columns(df)]))
     if drop_warmup:
         features = trim_warmup(features)
-    if check and features.isEmpty():
-        raise PanelError("No feature rows remain: there is not enough history for 28-row lags.")
+    if check:
+        features = settle(features)
+        _raise_missing(numeric, seen.get)
+        if features.isEmpty():
+            raise PanelError("No feature rows remain: there is not enough history for 28-row lags.")
     return features
 
 

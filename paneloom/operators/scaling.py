@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,13 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def settle_observed(df: DataFrame, counts: Sequence[Column], rest: Callable[[DataFrame], DataFrame] = lambda d: d) -> tuple[DataFrame, dict]:
+    """`settle(rest(df))`, and aggregates over the rows of `df` taken in the same pass."""
+    seen = Observation()
+    settled = settle(rest(df.observe(seen, *counts)))
+    return settled, seen.get
+
+
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which two NULL keys count as equal; the left key columns are kept."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
