@@ -13,6 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,13 +155,11 @@ def _settled(keys: np.ndarray, q: int, each: int) -> np.ndarray:
     return np.where(keys[:, 0] < q, number, -1)
 
 
-def _pairs(tables: list[pa.Table], q: int, threshold: float):
-    """Linked (i, j) rows of two tables, or of one with i < j, that list q answers for (-1: of all)."""
-    units = [unit_rows(np.array(t.column("embedding").to_pylist(), dtype=np.float64)) for t in tables]
+def _pairs(units: list[np.ndarray], keys: list[np.ndarray], q: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked (i, j) rows of two blocks, or of one with i < j, that list q answers for (-1: of all)."""
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     each = lists_a_rotation(units[0].shape[1])
     if q >= 0:
-        keys = [np.array(t.column("keys").to_pylist()) for t in tables]
         together = _settled(np.concatenate(keys), q, each)
         known = [together[: len(units[0])], together[-len(units[-1]) :]]
     else:
@@ -173,7 +172,7 @@ def _pairs(tables: list[pa.Table], q: int, threshold: float):
         columns = np.flatnonzero(known[-1] != first) if alike else np.arange(len(units[-1]))
         i, j = np.nonzero(units[0][rows] @ units[-1][columns].T >= threshold)
         i, j = rows[i], columns[j]
-        if len(tables) == 1:
+        if len(units) == 1:
             i, j = i[i < j], j[i < j]
         if len(i) and q >= 0:
             once = ~_met_before(keys, q, each, i, j)
@@ -182,34 +181,45 @@ def _pairs(tables: list[pa.Table], q: int, threshold: float):
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _links(units: list[np.ndarray], keys: list[np.ndarray], ids: list[np.ndarray], weights: list[np.ndarray], q: int, threshold: float):
+    """(class, links of it, smallest class of its linked group) within a list or between two of its blocks."""
+    i, j = _pairs(units, keys, q, threshold)
+    nodes, at = np.unique(np.concatenate([ids[0][i], ids[-1][j]]), return_inverse=True)
+    n = np.zeros(len(nodes), np.int64)
+    np.add.at(n, at, np.concatenate([weights[-1][j], weights[0][i]]))
+    inner, root = local_star(ids[0][i], ids[-1][j])
+    low = nodes.copy()
+    low[np.searchsorted(nodes, inner)] = root
+    return nodes, n, low
+
+
 def _verify(threshold: float):
     """For each list or pair of its blocks: link counts by class, and the smallest class of each linked group."""
 
-    def one(part: pa.Table) -> pa.RecordBatch:
-        first = part.slice(0, 1).to_pylist()[0]
-        sides = part.column("side").to_numpy()
-        tables = [t for t in (part.filter(pa.array(sides == s)) for s in (0, 1)) if t.num_rows]
-        counts: dict[str, np.ndarray] = {"cls": np.zeros(0, np.int64), "n": np.zeros(0, np.int64), "low": np.zeros(0, np.int64)}
-        if len(tables) == 2 or not first["crossed"]:
-            ids = [t.column("cls").to_numpy() for t in tables]
-            weights = [t.column("weight").to_numpy() for t in tables]
-            i, j = _pairs(tables, first["q"], threshold)
-            nodes, at = np.unique(np.concatenate([ids[0][i], ids[-1][j]]), return_inverse=True)
-            n = np.zeros(len(nodes), np.int64)
-            np.add.at(n, at, np.concatenate([weights[-1][j], weights[0][i]]))
-            inner, root = local_star(ids[0][i], ids[-1][j])
-            low = nodes.copy()
-            low[np.searchsorted(nodes, inner)] = root
-            counts = {"cls": nodes, "n": n, "low": low}
-        return pa.RecordBatch.from_pydict(counts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in complete_runs(batches, "unit", 1 << 62):
-            names = [table.column(c).to_numpy() for c in ("unit", "size", "q", "one", "two")]
-            edges = np.flatnonzero(np.any([np.diff(x) != 0 for x in names], axis=0)) + 1
+            table = table.combine_chunks()
+            unit, size, q, one, two, side, crossed, cls, weight = (
+                table.column(c).to_numpy() for c in ("unit", "size", "q", "one", "two", "side", "crossed", "cls", "weight")
+            )
+            flat = {c: table.column(c).combine_chunks() for c in ("embedding", "keys")}
+            ends = {c: np.r_[0, np.cumsum(pc.list_value_length(v).to_numpy())] for c, v in flat.items()}
+            flat = {c: v.flatten().to_numpy() for c, v in flat.items()}
+            edges = np.flatnonzero(np.any([np.diff(x) != 0 for x in (unit, size, q, one, two)], axis=0)) + 1
+            found = []
             for begin, end in zip(np.r_[0, edges], np.r_[edges, table.num_rows]):
-                if end - begin > 1:
-                    yield one(table.slice(begin, end - begin))
+                parts = [begin + np.flatnonzero(side[begin:end] == s) for s in (0, 1)]
+                parts = [p for p in parts if len(p)]
+                if end - begin < 2 or (crossed[begin] and len(parts) < 2):
+                    continue
+                rows = {c: v[ends[c][begin] : ends[c][end]].reshape(end - begin, -1) for c, v in flat.items()}
+                units = [unit_rows(rows["embedding"][p - begin]) for p in parts]
+                keys = [rows["keys"][p - begin] for p in parts]
+                links = _links(units, keys, [cls[p] for p in parts], [weight[p] for p in parts], int(q[begin]), threshold)
+                if len(links[0]):
+                    found.append(links)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["cls", "n", "low"])
 
     return run
 
