@@ -280,7 +280,10 @@ def pack_documents(
     counts = save(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("pieces")))
     histogram = {r.length: r.pieces for r in counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()}
     layout = Layout(histogram, capacity, groups, small)
-    before = save(offsets_of(counts, ["length"], "part", "pieces", "before").select("part", "length", "before"))
-    ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("local_rank")).drop("part", "before", "local_rank")
+    # One row per input partition with its offset for each length; merged by partition, as it grows with their number.
+    offsets = offsets_of(counts, ["length"], "part", "pieces", "before")
+    before = offsets.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("before"))
+    ranked = pieces.join(before.hint("merge"), "part").withColumn("rank", F.element_at("before", F.col("length")) + F.col("local_rank"))
+    ranked = ranked.drop("part", "before", "local_rank")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return ranked.mapInArrow(_place(layout.arrays(), capacity), schema)
