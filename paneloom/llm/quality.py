@@ -13,7 +13,7 @@ from paneloom.llm.tables import fresh, save, small_batches, texts_of
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 # Softer limits; a document of a rejected host stays only if it keeps to them.
 SYMBOL_PERCENT, DUPLICATE_LINE_PERCENT = 10, 30
-HOST_RATE = 0.5  # shrunken failure rate from which a host is rejected
+HOST_DEVIATIONS = 3  # posterior deviations by which a rejected host's rate lies above the overall rate
 PRIOR_ROWS = (1.0, 1000.0)  # bounds of the prior's weight in documents
 _WORD = re.compile("[^ \t-\r]+")
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -68,8 +68,8 @@ def host_verdicts(failures: DataFrame, host: str, failed: str) -> DataFrame:
 
     The rates' prior is a beta distribution fitted to all hosts by moments: its mean is the overall
     rate, its weight follows from how far host rates vary beyond chance. A host's rate is
-    (failures + weight * mean) / (documents + weight). Counts are combined before the shuffle; one
-    row of sums reaches the driver.
+    (failures + weight * mean) / (documents + weight), and the host is rejected if that lies HOST_DEVIATIONS deviations of its posterior
+    above the overall rate. Counts are combined before the shuffle; one row of sums reaches the driver.
     """
     hosts = save(failures.groupBy(host).agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col(failed).cast("long")).alias("failures")))
     sums = hosts.agg(
@@ -83,7 +83,8 @@ def host_verdicts(failures: DataFrame, host: str, failed: str) -> DataFrame:
         beyond = sums.squares / sums.n - mean * mean - chance * sums.hosts / sums.n
         weight = min(max(chance / beyond - 1, PRIOR_ROWS[0]), PRIOR_ROWS[1]) if beyond > 0 else PRIOR_ROWS[1]
     rate = (F.col("failures") + F.lit(weight * mean)) / (F.col("documents") + F.lit(weight))
-    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") >= HOST_RATE)
+    spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("documents") + F.lit(weight + 1)))
+    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") - F.lit(mean) > HOST_DEVIATIONS * spread)
 
 
 def _host_key(column: str) -> Column:

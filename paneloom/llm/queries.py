@@ -117,7 +117,8 @@ sums AS (SELECT count(*) AS h, sum(n) AS n, sum(f) AS f, sum(f * f / n::DOUBLE)
 moments AS (SELECT f / n::DOUBLE AS m, (f / n::DOUBLE) * (1 - f / n::DOUBLE) AS c, h, n, sq FROM sums),
 beyond AS (SELECT m, c, sq / n - m * m - c * h / n AS b FROM moments),
 prior AS (SELECT m, CASE WHEN b > 0 THEN least(greatest(c / b - 1, 1.0), 1000.0) ELSE 1000.0 END AS s FROM beyond),
-rejected AS (SELECT host FROM hosts, prior WHERE (f + s * m) / (n + s) >= 0.5)
+rates AS (SELECT host, n, s, m, (f + s * m) / (n + s) AS rate FROM hosts, prior),
+rejected AS (SELECT host FROM rates WHERE rate - m > 3 * sqrt(rate * (1 - rate) / (n + (s + 1))))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND NOT (host IN (SELECT host FROM rejected) AND (100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines)) AS kept
