@@ -26,34 +26,37 @@ RULES = (
 
 # The small labelled URL table: hosts of each class, crossed with the paths of each class.
 BLOCKED_HOSTS = (
-    "spam-farm.example.org", "www.spam-links.example.net", "m.link-farm.example.com", "spamhub.example.net",
-    "cheap-pills.example.com", "buy-pills-online.example.net", "blog.cheap-meds.example.org", "pharma-deals.example.com",
-    "casino-win.example.net", "www.online-casino.example.com", "slots-bonus.example.org", "win-jackpot.example.com",
-    "free-bets.example.net", "m.sport-bets.example.com", "bet-now.example.org", "poker-free.example.net",
-    "adult-x.example.com", "blog.adult-cams.example.net", "xxx-videos.example.org", "porn-tube.example.com",
-    "ads-track.example.com", "www.ad-tracker.example.net", "click-ads.example.org", "m.track-pixel.example.com",
-    "free-money.example.com", "get-rich-quick.example.net", "crack-keygen.example.org", "free-downloads-xxx.example.net",
+    "spam-links.example.net", "linkspam.example.com", "m.bulk-spam.example.org", "seo-farm.example.net",
+    "pills-online.example.net", "www.pharmacy-deals.example.com", "buy-meds-cheap.example.org", "viagra-shop.example.com",
+    "online-casino.example.org", "www.royal-casino.example.com", "slots-bonus.example.org", "win-jackpot.example.com",
+    "sport-bets.example.net", "m.bet-now.example.com", "poker-free.example.net", "betting-tips.example.org",
+    "adult-cams.example.net", "xxx-videos.example.org", "porn-tube.example.com", "blog.hot-adult.example.com",
+    "ad-tracker.example.net", "www.click-ads.example.org", "m.track-pixel.example.com", "pop-ads.example.net",
+    "vegas-casino.example.net", "casino-games.example.com", "m.mycasino.example.org", "win-big.example.net",
+    "cheap-watches.example.com", "diet-pills.example.org", "pills-discount.example.com", "cheapest-pills.example.net",
+    "comment-spam.example.net", "www.spam-mail.example.com", "content-farm.example.org", "click-farm.example.com",
+    "adult-dating.example.net", "www.adult-sex.example.org", "ads-network.example.com", "tracking-ads.example.org",
+    "free-money.example.com", "get-rich-quick.example.net", "crack-keygen.example.org", "free-downloads.example.net",
 )
-ALLOWED_HOSTS = (
-    "blog.thonder.example.com", "www.tionary.example.net", "m.thesis.example.org", "library.example.org",
-    "news.example.com", "weather.example.net", "docs.example.org", "www.university.example.com",
-    "museum.example.net", "blog.gardening.example.org", "recipes.example.com", "m.history.example.net",
-    "www.science.example.org", "research.example.net", "blog.travelnotes.example.com", "openmaps.example.org",
-    "thisthat.example.net", "www.therest.example.com", "threading.example.org", "m.theory.example.com",
-    "thinking.example.net", "blog.theater.example.org", "another.example.com", "www.thermal.example.net",
-    "winter.example.com", "addresses.example.org", "betterment.example.net", "trackside.example.com",
-    "hotel.example.org", "nations.example.net", "blog.ontario.example.com", "www.stone.example.org", "m.earth.example.net",
-    "ethnic.example.com", "methods.example.org", "anthem.example.net", "blog.northwind.example.com", "www.athlete.example.org",
-    "thicket.example.net", "m.thread.example.com", "birthday.example.org", "stationery.example.net", "blog.motion.example.com",
-    "www.editions.example.org", "health.example.net", "wherewithal.example.com", "m.thunder.example.org", "others.example.net",
-    "blog.lighthouse.example.com", "www.thrift.example.org", "nothing.example.net", "tables.example.com", "m.breathe.example.org",
-    "thimble.example.net", "blog.emotion.example.com", "www.another-day.example.org", "hearth.example.net", "redwood.example.com",
+ALLOWED_HOSTS = tuple(
+    f"{front}{word}.example.{end}"
+    for number, word in enumerate(
+        "library news weather docs university museum garden recipes history science research travel maps bread kitchen river "
+        "mountain school teacher music orchestra painting gallery village harbor forest animal doctor hospital engine "
+        "bridge railway station letter language grammar dictionary atlas planet ocean island desert winter summer calendar "
+        "journal article essay poetry novel theater cinema camera lens window furniture carpenter farmer market "
+        "time year people day man thing woman life child world state family student group country problem hand part place case "
+        "week company system program question work government number night point home water room mother area story fact month "
+        "study book eye word business issue side kind head house service friend father power hour line member law city community "
+        "name president team minute idea body information parent face others level office door health person art".split()
+    )
+    for front, end in ((("", "www.", "blog.", "m.")[number % 4], ("com", "net", "org")[number % 3]), ("", "com"))
 )
 PATHS = ("", "/", "/en/12", "/de/345.html", "/fr/7/", "/es/890", "/index.html", "/en/2024/05/article")
 BLOCKED_PATHS = ("/casino/bonus", "/buy/cheap-pills", "/adult/xxx", "/free-bets/win", "/ads/track")
 ALLOWED_PATHS = ("/about", "/archive/history", "/docs/manual", "/library/books", "/science/article")
 
-HASHED_FEATURES = 1 << 14
+HASHED_FEATURES, PENALTY = 1 << 14, 0.003
 NGRAM_SIZES = (3, 4)
 
 
@@ -100,7 +103,7 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     """The built-in labelled table: (url, blocked 0.0 or 1.0), a few hundred rows."""
 
     parts = (
-        (BLOCKED_HOSTS, PATHS, 1), (ALLOWED_HOSTS, PATHS, 0), (ALLOWED_HOSTS[:6], BLOCKED_PATHS, 1), (ALLOWED_HOSTS, ALLOWED_PATHS, 0)
+        (BLOCKED_HOSTS, PATHS, 1), (ALLOWED_HOSTS, PATHS, 0), (ALLOWED_HOSTS[:12:2], BLOCKED_PATHS, 1), (ALLOWED_HOSTS, ALLOWED_PATHS, 0)
     )
     rows = [F.lit(f"{label} https://{host}{path}") for hosts, paths, label in parts for host in hosts for path in paths]
     row = F.split(F.col("row"), " ")
@@ -109,10 +112,13 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 
 
 def train_url_model(labelled: DataFrame) -> LogisticRegressionModel:
-    """Logistic regression with an L2 penalty; the table must be small (url, blocked)."""
+    """Logistic regression with an L2 penalty, both classes of equal weight; the table must be small (url, blocked)."""
     host, path = url_parts(F.col("url"))
     parts = save(labelled.select(host.alias("host"), path.alias("path"), "blocked").coalesce(1))
-    fit = LogisticRegression(labelCol="blocked", featuresCol="features", regParam=0.01, maxIter=30, standardization=False)
+    share = parts.agg(F.avg("blocked")).first()[0] or 0.0
+    weight = F.when(F.col("blocked") == 1, 0.5 / max(share, 1e-6)).otherwise(0.5 / max(1 - share, 1e-6))
+    parts = parts.withColumn("weight", weight)
+    fit = LogisticRegression(labelCol="blocked", featuresCol="features", weightCol="weight", regParam=PENALTY, maxIter=30, standardization=False)
     return fit.fit(_features(parts, "host", "path", "features"))
 
 

@@ -39,7 +39,7 @@ def test_stages_keep_what_they_should(spark, folder):
     clean = set(range(120)) | {4000}
     assert kept["quality rules"] == clean | {*range(1000, 1010), 1100} | set(range(2000, 2060))
     assert kept["toxicity"] == clean | {*range(1000, 1010), 1100}
-    assert kept["SimHash near-dedup"] == clean and kept["PII"] == clean
+    assert kept["near-copy dedup"] == clean and kept["PII"] == clean
     assert docs.where("doc_id = 4000").first().text.endswith("mail me at [email] or [phone] now")
     assert docs.where("n_chars <> length(text)").count() == 0
 
@@ -47,7 +47,7 @@ def test_stages_keep_what_they_should(spark, folder):
 def test_run_packs_all_that_is_kept(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in rows} == set(range(120)) | {4000}
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "toxicity", "SimHash near-dedup", "PII", "best-fit packing"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "toxicity", "near-copy dedup", "PII", "best-fit packing"]
 
 
 def test_empty_documents(spark, folder, tmp_path):
