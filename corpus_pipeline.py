@@ -45,7 +45,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality rules", quality_stage),
     ("toxicity", toxicity_stage),
-    ("SimHash near-dedup", dedup_stage),
+    ("near-copy dedup", dedup_stage),
     ("PII", pii_stage),
     ("best-fit packing", packing_stage),
 ]
