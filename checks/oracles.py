@@ -431,7 +431,7 @@ def _matrix() -> dict[str, str]:
         "impute_medians": query(PANEL, CUTOFFS, TAGGED, GAPPY, f"SELECT {KEY}, split, {filled.format("", "")} FROM gappy"),
         "model_matrix": query(PANEL, MANUAL, *FRAMED, GAPPY, codes("tagged"), f"SELECT {KEY}, {', '.join(f'{value} AS feature_{c}' for c, value in inputs.items())}, {code('store_id').replace('AS store', 'AS feature_store').replace('tagged.', 'gappy.')}, {code('product_id').replace('AS product', 'AS feature_product').replace('tagged.', 'gappy.')} FROM gappy"),
         "tune_models": "SELECT * FROM (VALUES ('gbt'), ('gbt_deep')) f(model_name), (SELECT CAST(UNNEST(RANGE(20)) AS INTEGER) AS trial_number, 'COMPLETE' AS state, TRUE AS in_ranges, TRUE AS useful, 1::BIGINT AS n_best, TRUE AS is_lowest)",
-        "evaluate_models": query(*FRAMED_SUITE, MEASURED, "trained AS (SELECT * FROM (VALUES ('gbt', 'trees'), ('gbt_deep', 'trees'), ('ridge_per_product', 'linear')) t(model_name, model_family), (SELECT split, COUNT(*) AS n_obs FROM tagged WHERE split <> 'train' GROUP BY 1))", f"""SELECT split, model_name, model_family, n_obs, {', '.join(f'ROUND({m}, 4) AS {m}' for m in METRICS)}, NULL::BOOLEAN AS beats_naive FROM measured
+        "evaluate_models": query(*FRAMED_SUITE, MEASURED, "trained AS (SELECT * FROM (VALUES ('gbt', 'trees'), ('gbt_deep', 'trees'), ('ridge_per_product', 'linear')) t(model_name, model_family), (SELECT split, COUNT(*) AS n_obs FROM tagged WHERE split <> 'train' GROUP BY 1))", f"""SELECT split, model_name, model_family, n_obs, {', '.join(METRICS)}, NULL::BOOLEAN AS beats_naive FROM measured
 UNION ALL SELECT split, model_name, model_family, n_obs, {', '.join('NULL::DOUBLE' for _ in METRICS)}, TRUE FROM trained"""),
         "forecast_next": query(PANEL, MANUAL, *FRAMED, f"SELECT {KEY}, units_sold AS actual_units, 'test' AS source_split, CASE WHEN product_id IN (SELECT product_id FROM tagged WHERE split = 'validation') THEN 8::BIGINT END AS n_candidates, TRUE AS has_forecast, TRUE AS by_winner FROM tagged WHERE split = 'test'"),
         "saved_forecast": query(PANEL, MANUAL, *FRAMED, f"SELECT {KEY}, units_sold AS actual_units, 'gbt' AS model_name, 'test' AS source_split, TRUE AS as_saved FROM tagged WHERE split = 'test'"),

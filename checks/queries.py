@@ -572,8 +572,8 @@ def q_evaluate_models(spark, folder):
     naive = found.metrics.where("model_name = 'naive_last'").select("split", F.col("wmape").alias("naive_wmape"))
     judged = found.metrics.join(naive, "split").withColumn("beats_naive", F.col("wmape") < F.col("naive_wmape"))
     hidden = F.col("model_family") != "baseline"
-    kept = judged.withColumns({m: F.when(~hidden, F.round(m, 4)) for m in metrics.METRICS})
-    return kept.select("split", "model_name", "model_family", "n_obs", *metrics.METRICS, F.when(hidden, F.col("beats_naive")).alias("beats_naive"))
+    kept = judged.withColumns({m: F.when(~hidden, F.col(m)) for m in metrics.METRICS})
+    return rounded_metrics(kept).select("split", "model_name", "model_family", "n_obs", *metrics.METRICS, F.when(hidden, F.col("beats_naive")).alias("beats_naive"))
 
 
 def q_forecast_next(spark, folder):
