@@ -6,6 +6,7 @@ expression, so every text is read once in a narrow projection and nothing is shu
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache, reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -72,20 +73,50 @@ def base_valid(kind: str, value: Column) -> Column:
     return count.between(9, 15)
 
 
+CHUNK = 256  # elements that running values are carried through at a time
+
+
+def held(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, of: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Running values over an array, each element taken in: `of` is associative and `zero` changes nothing.
+
+    An array built element by element is copied at every step, so it is done within chunks, and then over
+    the chunks: the cost per element is bounded by CHUNK, not by the array.
+    """
+
+    def scan(array: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out"))
+
+        def step(state: Column, value: Column) -> Column:
+            now = of(state["at"], value)
+            return F.struct(now.alias("at"), F.concat(state["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(array, start, step, lambda state: state["out"])
+
+    def chunks(array: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(array) / CHUNK).cast("int"), F.lit(1)) - 1)
+        return F.transform(numbers, lambda i: scan(F.slice(array, i * CHUNK + 1, CHUNK)))
+
+    def whole(scanned: Column) -> Column:
+        last = F.transform(scanned, lambda c: F.coalesce(F.get(c, F.size(c) - 1), zero))
+        earlier = F.slice(F.concat(F.array(zero), scan(last)), F.lit(1), F.size(scanned))
+        return F.flatten(F.zip_with(scanned, earlier, lambda chunk, b: F.transform(chunk, lambda v: of(b, v))))
+
+    return held(values, lambda array: held(chunks(array), whole))
+
+
 def _spans(kind: str, base: bool, matches: Column, gaps: Column) -> Column:
     """Array of (kind, begin, end, value, left, right, base); places count code points.
 
     The gaps between matches and the matches alternate, so places are running sums of lengths.
     """
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int>>").alias("places"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["value"])
-        return F.struct(end.alias("at"), F.concat(state["places"], F.array(F.struct(begin.alias("begin"), end.alias("end")))).alias("places"))
-
-    places = F.aggregate(pairs, start, step, lambda s: s["places"])
+    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m))
+    ends = running(lengths, lambda x, y: x + y, F.lit(0))
+    places = F.zip_with(ends, matches, lambda end, m: F.struct((end - F.length(m)).alias("begin"), end.alias("end")))
 
     def span(place: Column, i: Column) -> Column:
         return F.struct(
@@ -251,13 +282,23 @@ def with_spans(docs: DataFrame, name: str, text_column: str = "text", labelled:
 
 
 def _settled(found: Column) -> Column:
-    """Base spans, and of the others those that overlap none of them."""
-    base = F.filter(found, lambda s: s["base"])
+    """Base spans, and of the others those that overlap none of them; sorted.
 
-    def apart(span: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["begin"] < span["end"]) & (span["begin"] < b["end"]))
+    In sorted order a span overlaps an earlier base span if the farthest of their ends lies beyond its begin, and a
+    later one if the next of their begins lies before its end.
+    """
+
+    def apart(spans: Column) -> Column:
+        farthest = running(F.transform(spans, lambda s: F.when(s["base"], s["end"]).otherwise(0)), F.greatest, F.lit(0))
+        never = F.lit(2**31 - 1)
+        begins = F.transform(F.reverse(spans), lambda s: F.when(s["base"], s["begin"]).otherwise(never))
+        following = F.reverse(running(begins, F.least, never))
+        around = F.zip_with(farthest, following, lambda f, n: F.struct(f.alias("farthest"), n.alias("following")))
+        rows = F.zip_with(spans, around, lambda s, a: F.struct(s.alias("span"), a["farthest"].alias("farthest"), a["following"].alias("following")))
+        kept = F.filter(rows, lambda r: r["span"]["base"] | ((r["farthest"] <= r["span"]["begin"]) & (r["following"] >= r["span"]["end"])))
+        return F.transform(kept, lambda r: r["span"])
 
-    return F.array_sort(F.concat(base, F.filter(found, lambda s: ~s["base"] & apart(s))))
+    return held(F.array_sort(found), apart)
 
 
 def _count(spans: Column, number: int) -> Column:
@@ -285,20 +326,33 @@ def pii_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; overlapping spans become one, named by the first."""
+    """The text with each span replaced by its kind in brackets; overlapping spans become one, named by the first.
+
+    Spans are sorted. The text is cut for each chunk of spans, and each chunk's part for its spans.
+    """
     names = F.array(*map(F.lit, KINDS))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(state: Column, span: Column) -> Column:
-        name = F.concat(F.lit("["), F.get(names, span["number"]), F.lit("]"))
-        fresh_part = F.array(F.substring(text, state["at"] + 1, span["begin"] - state["at"]), name)
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["begin"] >= state["at"], F.concat(state["out"], fresh_part)).otherwise(state["out"]).alias("out"),
-        )
+    def rebuilt(ends: Column) -> Column:
+        at = F.slice(F.concat(F.array(F.lit(0)), ends), F.lit(1), F.size(spans))
+        rows = F.zip_with(spans, at, lambda s, a: F.struct(s.alias("span"), a.alias("at")))
+        apart = F.filter(rows, lambda r: r["span"]["begin"] >= r["at"])
+        return F.concat(held(apart, parts), F.substring(text, F.element_at(ends, -1) + 1, F.length(text)))
+
+    def parts(apart: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.ceil(F.size(apart) / CHUNK).cast("int") - 1)
+        return F.array_join(F.transform(numbers, lambda i: held(F.slice(apart, i * CHUNK + 1, CHUNK), part)), "")
+
+    def part(own: Column) -> Column:
+        start = own[0]["at"]
+        piece = F.substring(text, start + 1, F.element_at(own, -1)["span"]["begin"] - start)
+        return held(F.struct(start.alias("start"), piece.alias("text")), lambda p: F.array_join(F.transform(own, lambda r: cut(p, r)), ""))
+
+    def cut(piece: Column, row: Column) -> Column:
+        before = F.substring(piece["text"], row["at"] - piece["start"] + 1, row["span"]["begin"] - row["at"])
+        return F.concat(before, F.lit("["), F.get(names, row["span"]["number"]), F.lit("]"))
 
-    done = F.aggregate(spans, start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest, F.lit(0))
+    return F.when(F.size(spans) > 0, held(ends, rebuilt)).otherwise(text)
 
 
 def redact_documents(docs: DataFrame, text_column: str = "text", count_column: str = "n_chars", labelled: DataFrame | None = None) -> DataFrame:

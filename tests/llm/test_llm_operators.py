@@ -4,6 +4,7 @@ import binascii
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -399,6 +400,47 @@ def test_pii_method_adds_and_redacts(spark, docs):
     assert all(r.n_chars == len(r.text) for r in redacted.where("text LIKE '%[email]%'").collect())
 
 
+def test_running_values_and_spans_equal_plain_loops(spark, monkeypatch):
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    rng = random.Random(2)
+    texts, spans = [], []
+    for n in (0, 1, 2, 3, 4, 7, 20, 40):
+        text = "".join(rng.choice("abé😀 ") for _ in range(60))
+        own = []
+        for _ in range(n):
+            begin = rng.randint(0, 55)
+            own.append((begin, rng.randint(0, 3), rng.randint(begin + 1, 59), rng.random() < 0.4))
+        texts.append(text)
+        spans.append(own)
+    kind = "text string, found array<struct<begin:int,number:int,end:int,base:boolean>>, numbers array<int>"
+    df = spark.createDataFrame([(t, s, [x[2] for x in s]) for t, s in zip(texts, spans)], kind)
+    rows = df.select("text", pii.running(F.col("numbers"), lambda x, y: x + y, F.lit(0)).alias("sums"), pii._settled(F.col("found")).alias("kept")).collect()
+    for row, own in zip(rows, spans):
+        assert row.sums == np.cumsum([x[2] for x in own], dtype=int).tolist()
+        base = [x for x in own if x[3]]
+        want = sorted(base + [x for x in own if not x[3] and not any(b[0] < x[2] and x[0] < b[2] for b in base)])
+        assert [tuple(x) for x in row.kept] == want
+    cut = df.select(pii.redacted(F.col("text"), F.array_sort("found")).alias("out")).collect()
+    for row, text, own in zip(cut, texts, spans):
+        out, at = "", 0
+        for begin, number, end, _ in sorted(own):
+            if begin >= at:
+                out += text[at:begin] + f"[{pii.KINDS[number]}]"
+            at = max(at, end)
+        assert row.out == out + text[at:]
+
+
+def test_a_text_of_fifty_thousand_matches_takes_seconds(spark):
+    text = "".join(f"user{i}@mail.example.com, " for i in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pii.pii_digests(docs.where("false")).count()  # the model
+    start = time.monotonic()
+    row = pii.pii_digests(docs).first()
+    out = pii.redact_documents(docs).first().text
+    assert time.monotonic() - start < 60
+    assert row.n_email == 50_000 and out == "[email], " * 50_000
+
+
 # ------------------------------------------------------------------------------------------ op7
 
 
