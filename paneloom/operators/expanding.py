@@ -123,27 +123,14 @@ def _chunked(
     def medians(group: pd.DataFrame) -> pd.DataFrame:
         is_row = group["__position"].notna().to_numpy()
         chunk = group[is_row].sort_values("__position")
-        earlier = group[~is_row]
-        known_before = int(chunk["earlier"].iloc[0])
+        earlier = group[~is_row].sort_values("__value")
         under = 0 if pd.isna(chunk["__below"].iloc[0]) else int(chunk["__below"].iloc[0])
         new = chunk[column].to_numpy(dtype="float64", na_value=np.nan)
-        old = earlier["__value"].to_numpy(dtype="float64")
-        distinct = np.unique(np.concatenate([old, new[~np.isnan(new)]]))
-        tree = _Counts(len(distinct))
-        for slot, copies in zip(np.searchsorted(distinct, old), earlier["__copies"]):
-            tree.add(int(slot), int(copies))
-        found: list[float | None] = []
-        total = known_before
-        for value, slot in zip(new, np.searchsorted(distinct, new)):
-            if total:
-                lower = distinct[tree.find((total - 1) // 2 - under)]
-                upper = distinct[tree.find(total // 2 - under)]
-                found.append((lower + upper) / 2)
-            else:
-                found.append(None)
-            if not np.isnan(value):
-                tree.add(int(slot), 1)
-                total += 1
+        before = _stand_in(
+            earlier["__value"].to_numpy(dtype="float64"), earlier["__copies"].to_numpy(dtype="int64"), under,
+            int(chunk["earlier"].iloc[0]), int((~np.isnan(new)).sum()),
+        )
+        found = pd.Series(np.concatenate([before, new])).expanding().median().shift(1).to_numpy()[len(before) :]
         result = chunk[wanted].copy()
         result[name] = pd.array(found, dtype="Float64")
         return result
@@ -151,24 +138,20 @@ def _chunked(
     return input_rows.groupBy(*keys, "__chunk").applyInPandas(medians, schema)
 
 
-class _Counts:
-    """Counts per slot with the slot of a given rank, both in logarithmic time."""
-
-    def __init__(self, size: int) -> None:
-        self.sums = [0] * (size + 1)
-        self.top = 1 << (size.bit_length() - 1) if size else 0
+def _stand_in(values: np.ndarray, copies: np.ndarray, under: int, known: int, new: int) -> np.ndarray:
+    """Few values with the same median as `known` earlier ones, now and after up to `new` more.
 
-    def add(self, slot: int, copies: int) -> None:
-        slot += 1
-        while slot < len(self.sums):
-            self.sums[slot] += copies
-            slot += slot & -slot
-
-    def find(self, rank: int) -> int:
-        slot, step = 0, self.top
-        while step:
-            ahead = slot + step
-            if ahead < len(self.sums) and self.sums[ahead] <= rank:
-                slot, rank = ahead, rank - self.sums[ahead]
-            step >>= 1
-        return slot
+    `values` are those around the middle with their copies, `under` earlier ones are below all of them. Such a median
+    moves at most new / 2 ranks, so only the ranks within `new` of the middle are kept, and an equal number of
+    values is left out on both sides. What one side has more is stood in for by a value beyond all.
+    """
+    if not known:
+        return np.zeros(0)
+    low, high = max(0, known // 2 - new - 2), min(known, known // 2 + new + 3)
+    ends = under + np.cumsum(copies)
+    kept = np.clip(ends, low, high) - np.clip(ends - copies, low, high)
+    inner = np.repeat(values, kept)
+    first = max(low, under)
+    below, above = first, known - first - len(inner)
+    both = min(below, above)
+    return np.concatenate([np.full(below - both, -np.finfo(float).max), inner, np.full(above - both, np.finfo(float).max)])
