@@ -95,7 +95,7 @@ def _missing_numbers(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 def _raise_missing(columns: Sequence[str], bad: dict) -> None:
     for name in columns:
         if bad[name]:
-            raise PanelError(f"Column '{name}' contains {bad[name]} non-numeric values that cannot be coerced")
+            raise PanelError(f"Column '{name}' contains {bad[name]} values that are missing or no numbers")
 
 
 def passthrough_features(df: DataFrame, check: bool = True) -> DataFrame:
@@ -232,7 +232,7 @@ def create_features_compat(
 ) -> DataFrame:
     """Small feature set: demand lags, a rolling mean from one row on, logs, weekday and month."""
     if rolling_window <= 0:
-        raise PanelError("rolling_window must be positive")
+        raise PanelError("rolling_window has to be 1 or more")
     lookbacks = {f"units_lag_{k}": lag_of(UNITS, k) for k in sorted({int(k) for k in lags if int(k) > 0})}
     lookbacks[f"units_roll_mean_{rolling_window}"] = rolling_of(UNITS, rolling_window, "mean", min_rows=1)
     return add_lookbacks(df, lookbacks).withColumns(

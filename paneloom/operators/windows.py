@@ -52,7 +52,7 @@ def rolling_of(
     if window <= 0:
         raise PanelError("Rolling windows must be positive")
     if statistic not in STATISTICS:
-        raise PanelError(f"Unsupported rolling statistic: {statistic}")
+        raise PanelError(f"No statistic '{statistic}'; known ones are {', '.join(STATISTICS)}")
     needed = window if min_rows is None else min_rows
 
     def build(w: WindowSpec) -> Column:

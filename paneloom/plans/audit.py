@@ -183,6 +183,7 @@ def audit_plan(
     passes = F.col("form_error").isNull() & ~F.col("blocked") & ~F.col("exists") & (F.col("missing") == "")
     owners = checked.where(passes).groupBy("feature_name").agg(F.min("index").alias("owner"))
     later = F.col("exists") | F.coalesce(F.col("index") > F.col("owner"), F.lit(False))
+    # Fixed texts.
     reason = (
         F.when(F.col("form_error").isNotNull(), F.col("form_error"))
         .when(F.col("blocked"), "Feature name overlaps with the manual feature namespace")

@@ -41,7 +41,7 @@ def materialize_plan(
     taken, usable, rejected = set(df.columns), [], []
     for spec in specs:
         empty = [c for c in spec.sources() if counts[c] == 0]
-        reason = None
+        reason = None  # the texts below are fixed
         if spec.name in taken:
             reason = "feature name collision in materialization frame"
         elif empty:

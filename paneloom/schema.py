@@ -12,6 +12,7 @@ PRODUCT = "product_id"
 UNITS = "units_sold"
 PRICE = "price"
 
+# Keys and columns of a panel.
 SERIES = (STORE, PRODUCT)
 PANEL_KEY = (DATE, STORE, PRODUCT)
 BASE_COLUMNS = (DATE, STORE, PRODUCT, UNITS, PRICE)

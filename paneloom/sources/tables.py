@@ -18,7 +18,7 @@ def _format_of(path: str) -> str:
     for extension, fmt in _FORMATS.items():
         if lowered.endswith(extension):
             return fmt
-    raise PanelError(f"Unsupported file extension of '{path}'. Use CSV (.csv) or Parquet (.parquet).")
+    raise PanelError(f"'{path}' ends neither in .csv nor in .parquet")
 
 
 def _read(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:

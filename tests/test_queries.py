@@ -11,7 +11,12 @@ from checks.verify import compare
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables are absent")
-SAMPLE = ("data_summary", "backtest_frame", "price_features", "audit_plan", "best_model_registry", "price_plan_forecast", "dml_elasticity")
+SAMPLE = (
+    "clean_sales", "data_summary", "backtest_frame", "price_features", "inventory_features", "manual_features", "audit_plan",
+    "materialize_plan", "baseline_suite", "segment_metrics", "best_model_registry", "model_matrix", "train_per_product", "train_gbt",
+    "evaluate_models", "forecast_next", "price_plan_forecast", "residuals_random_forest", "dml_elasticity", "elasticity_estimates",
+    "elasticity_estimates_linear", "describe", "column_histogram",
+)
 
 
 @pytest.fixture(scope="module")
