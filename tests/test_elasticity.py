@@ -49,7 +49,7 @@ def test_scenario(spark):
     assert elasticity.price_plan_forecast(history, slopes, 1).count() == 2
     with pytest.raises(PanelError, match="horizon_days"):
         elasticity.price_plan_forecast(history, slopes, 0)
-    for column, value, message in (("date", "never", "invalid date"), ("price", "-1", "invalid price")):
+    for column, value, message in (("date", "never", "dates"), ("price", "-1", "prices")):
         with pytest.raises(PanelError, match=message):
             elasticity.validate_price_plan(plan.withColumn(column, F.lit(value)))
 
