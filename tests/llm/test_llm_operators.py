@@ -258,6 +258,22 @@ def test_shards(spark, docs, pairs):
     assert sharding.shard_by_bytes(docs.where("false")).count() == 0
 
 
+def test_shards_equal_a_plain_running_sum(spark):
+    """Rows of one file keep their order: the shard of the middle of each row's bytes, slots counted in order."""
+    rng = random.Random(6)
+    texts = [rng.choice([None, "", "x" * rng.randint(0, 50), "é" * rng.randint(0, 900), "copy"]) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_by_bytes(df, 7).collect()}
+    sizes = [len((t or "").encode()) + 8 for t in texts]
+    at, slots = 0, Counter()
+    for doc, size in enumerate(sizes):
+        shard = min((2 * at + size) * 7 // (2 * sum(sizes)), 6)
+        assert rows[doc] == (shard, slots[shard])
+        slots[shard] += 1
+        at += size
+    assert len(slots) == 7
+
+
 @given
 def test_shards_have_nearly_equal_bytes(spark):
     df = read(spark, "documents").repartition(7)
@@ -454,6 +470,29 @@ def test_toxicity_folds_and_excepts():
     assert toxicity.measures("idiot", matcher)[1] > toxicity.measures("idiot and many more words", matcher)[1]
 
 
+def test_toxicity_measures_equal_a_plain_search_at_every_place():
+    """Every term tried at every place of the folded text, phrases that don't count taken out, the heaviest term of a place counted."""
+    rng = random.Random(9)
+    weights = {" idiot ": 3.0, " idio": 1.5, " trash ": 2.0, " lowe": 1.0, " ab ": 0.5, " abab": 0.75}
+    phrases = ("trash can", "ab idiot", "lowe ab")
+    model = toxicity.ToxicityModel(weights, phrases, (1.0, 1.0, 0.0), -3.0)
+    matcher = model.matcher()
+    parts = ["idiot", "1d10t", "IDIOTIC", "trash", "can", "lower", "lowe", "ab", "abab", "a", "b", "flower", "ï", "\u200b", "!", " ", " ", "  ", "9"]
+    for _ in range(600):
+        text = "".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randint(0, 14)))
+        folded = toxicity.fold(text)
+        exempt = set()
+        for phrase in map(toxicity.fold, phrases):
+            for i in range(len(folded)):
+                if folded.startswith(phrase, i):
+                    exempt |= set(range(i, i + len(phrase) - 1))
+        best = [max((w for t, w in weights.items() if folded.startswith(t, i)), default=0.0) for i in range(len(folded))]
+        total = sum(w for i, w in enumerate(best) if i not in exempt)
+        words = len(folded.split())
+        want = (np.log1p(total), 100 * total / max(words, 1), np.log1p(words))
+        assert toxicity.measures(text, matcher) == pytest.approx(want), (text, folded)
+
+
 @given
 def test_toxicity_learns_from_labels_held_out(spark):
     folder = "/root/testdata/sf0.1"
