@@ -135,7 +135,9 @@ def copy_links(classes: DataFrame, texts: DataFrame, words: int = WORDS, percent
 def keep_one_of_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group of near copies, all columns as they are: the smallest id, of equal ids any one.
 
-    Rows with a null id come last. Texts with equal shingles, and all texts without words, are copies.
+    Rows with a null id come last. Texts with equal shingles, and all texts without words (null, empty or of white space), are
+    copies; a text of fewer words than a shingle is one shingle. Long texts are sketched whole, and repeated rows are copies. An empty
+    table gives an empty result, columns of any name stay as they are.
     """
     small_batches(docs.sparkSession)
     row, made = fresh(docs, "row_number"), fresh(docs, "sketch")

@@ -92,3 +92,19 @@ def test_near_copies_of_similarity_from_0_8_go(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     kept = {r.doc_id for r in near_copies.keep_one_of_copies(docs).collect()}
     assert kept == {i for i in range(len(texts)) if root[i] == i}
+
+
+def test_near_copies_of_awkward_rows_and_columns(spark):
+    """Null, empty and very long texts, ties, repeated rows and null ids, in a table with the operator's own column names."""
+    long = " ".join(f"v{i}" for i in range(150_000))
+    rows = [
+        (1, None), (2, ""), (3, " \t\n"), (4, "two words"), (5, "TWO words"), (6, "other words"), (7, long), (8, long + " more"), (9, clean_text(1)), (9, clean_text(1)),
+        (None, clean_text(1)), (None, clean_text(2)), (None, clean_text(2)), (12, clean_text(3)), (11, clean_text(3) + " end"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("cls", "key", "label", "sketch", "row_number", "Low", "leader")})
+    found = near_copies.keep_one_of_copies(docs)
+    assert found.columns == docs.columns and {tuple(r)[2:] for r in found.collect()} == {("x",) * 7}
+    kept = [(r.doc_id, r.text) for r in found.collect()]
+    want = [(1, None), (4, "two words"), (6, "other words"), (7, long), (9, clean_text(1)), (None, clean_text(2)), (11, clean_text(3) + " end")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    assert near_copies.keep_one_of_copies(docs.where("false")).count() == 0
