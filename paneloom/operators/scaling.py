@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -19,23 +18,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    try:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001 - the session may have ended; the folder is only scratch
-        return
+def _delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Have the driver's JVM delete a folder when it ends, whether the session was stopped before or not."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage: Parquet in the shared folder, deleted when the driver's Python ends.
+    """Compute once and cut the lineage: Parquet in the shared folder, deleted when the driver ends.
 
     Later reads scan the columns they use only, and the planner knows the size.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/paneloom-settled/{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    atexit.register(_remove, spark, folder)
+    _delete_at_end(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
