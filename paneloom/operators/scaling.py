@@ -62,35 +62,22 @@ def with_position(
 ) -> DataFrame:
     """Zero-based row number within `keys` by `order` then `tiebreak`, without one task per key.
 
-    Rows are counted per distinct order value, the counts are prefix-summed one order column at a
-    time, and only rows equal in all order columns are numbered in a window. The largest task holds
-    the distinct values of one order column, or the rows of one (keys, order) cell.
-    `total` also adds the number of rows of the key.
+    Rows are sorted over ranges of all these columns and written with a number; the rows of each key in each range are
+    counted, and a prefix sum over a key's ranges gives where its rows start. A range ends anywhere in a
+    key, so only rows equal in all the columns stay together. `total` also adds the number of rows of the key.
     """
-    keys, order = list(keys), list(order)
-    cells = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = cells.select(*keys, *order)
-    for depth in range(len(order)):
-        parent, path = keys + order[:depth], keys + order[: depth + 1]
-        counted = cells if depth == len(order) - 1 else cells.groupBy(*path).agg(F.sum("__n").alias("__n"))
-        before = Window.partitionBy(*parent).orderBy(order[depth])
-        columns = [
-            F.coalesce(
-                F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias(f"__before_{depth}")
-        ]
-        if depth == 0:
-            columns.append(F.sum("__n").over(Window.partitionBy(*parent)).alias("__total"))
-        offsets = join_same(offsets, counted.select(*path, *columns), path)
-    start = sum((F.col(f"__before_{d}") for d in range(len(order))), F.lit(0).cast("long"))
-    offsets = offsets.select(*keys, *order, start.alias("__start"), "__total")
-    within = Window.partitionBy(*keys, *order).orderBy(*(tiebreak or [F.lit(1)]))
-    placed = join_same(df, offsets, keys + order).withColumn(
-        name, F.col("__start") + F.row_number().over(within) - 1
-    )
+    keys, by = list(keys), [*keys, *order, *tiebreak]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by) if by else df
+    numbered = settle(ranged.withColumn("__id", F.monotonically_increasing_id()))
+    placed = numbered.withColumn("__slot", F.shiftright("__id", 33))  # the range; the lower bits count in it
+    counts = placed.groupBy(*keys, "__slot").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    columns = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")]
     if total:
-        placed = placed.withColumn(total, F.col("__total"))
-    return placed.drop("__start", "__total")
+        columns.append(F.sum("__n").over(Window.partitionBy(*keys)).alias(total))
+    starts = counts.select(*keys, "__slot", "__first", *columns)
+    joined = join_same(placed, starts, [*keys, "__slot"]).withColumn(name, F.col("__start") + F.col("__id") - F.col("__first"))
+    return joined.drop("__id", "__slot", "__first", "__start")
 
 
 def dense_codes(df: DataFrame, column: str, code: str) -> DataFrame:

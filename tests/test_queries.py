@@ -43,3 +43,22 @@ def test_plan_reads_needed_columns_and_broadcasts_small_tables_only(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in lines
     assert "IsNotNull(l_partkey)" in lines
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_the_settled_panel_is_scanned_for_the_columns_used_only(spark):
+    from checks.queries import panel
+    from paneloom.operators import explore
+
+    plan = explore.coverage(panel(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
+    schemas = [part for part in plan.splitlines() if "paneloom-settled" in part and "ReadSchema" in part]
+    assert schemas and all("units_sold" in s or "struct<date:date>" in s for s in schemas)
+    assert not any(c in s for s in schemas for c in ("price", "discount", "inventory_level", "weather"))
+
+
+def test_checks_write_what_they_return(spark):
+    """The pass that cleans also counts broken rules; what is returned reads the written table."""
+    from checks.queries import raw_sales
+    from paneloom.operators import clean
+
+    plan = clean.clean_sales(raw_sales(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "paneloom-settled" in plan
