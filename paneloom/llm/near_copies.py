@@ -1,11 +1,12 @@
 """Near copies: groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-At that similarity 64-bit SimHash fingerprints differ in about ten bits, too many for a covering code. So candidates
-are found by bands of minima (MinHash): texts meet where all minima of a band agree, which at 0.8 happens in at least one
-of the bands with probability 0.9998. Candidates link only if the similarity of their shingle sets says so.
+Candidates come from two generators. SimHash: texts meet whose fingerprints are linked at four or fewer differing bits, found
+through the anchors of the covering code. At a similarity of 0.8 fingerprints differ in about ten bits, so most such pairs are found by
+the second: bands of minima (MinHash), where texts meet if all minima of a band agree, which at 0.8 happens in at least one
+of the bands with probability 0.9998. Candidates of either kind link only if the similarity of their shingle sets says so.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.llm.components import connected_components
+from paneloom.llm.simhash import linked_prints, print_of, shingle_digests
 from paneloom.llm.tables import complete_runs, fresh, save, small_batches, texts_of
 
 WORDS, PERCENT, SEED = 5, 80, 42
@@ -23,30 +25,23 @@ SALTS = np.random.default_rng(SEED).integers(0, 1 << 64, BANDS * ROWS, dtype=np.
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of A-Z-lowered words; a shorter text is one shingle, none without words."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    last = max(1, len(found) - words + 1) if found else 0
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(found[i : i + words]), SEED) for i in range(last)), dtype=np.uint64, count=last))
-
-
-def sketch(hashes: np.ndarray) -> list[int]:
-    """The digest of the set, then one key for each band, as signed longs."""
+def sketch(digests: np.ndarray) -> list[int]:
+    """The digest of the set of shingles, its SimHash, then one key for each band, as signed longs."""
+    hashes = np.unique(digests)
     low = np.full(BANDS * ROWS, ~np.uint64(0))
     for start in range(0, len(hashes), 1 << 13):
         mixed = (hashes[None, start : start + (1 << 13)] ^ SALTS) * MIX[0]
         mixed = (mixed ^ mixed >> np.uint64(32)) * MIX[1]
         low = np.minimum(low, mixed.min(axis=1))
     keys = [xxhash.xxh64_intdigest(band.tobytes(), number) for number, band in enumerate(low.reshape(BANDS, ROWS))]
-    return np.array([xxhash.xxh64_intdigest(hashes.tobytes()), *keys], dtype=np.uint64).view(np.int64).tolist()
+    return np.array([xxhash.xxh64_intdigest(hashes.tobytes()), print_of(hashes), *keys], dtype=np.uint64).view(np.int64).tolist()
 
 
 def _sketches(words: int):
     """A column function from text to its sketch."""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([sketch(shingle_hashes(t, words)) for t in texts_of(texts)], pa.list_(pa.int64()))
+        return pa.array([sketch(shingle_digests(t, words)) for t in texts_of(texts)], pa.list_(pa.int64()))
 
     return F.arrow_udf(run, "array<long>")
 
@@ -55,7 +50,7 @@ def _shingles(words: int):
     """A column function from text to its shingles, 32 bits each."""
 
     def run(texts: pa.Array) -> pa.Array:
-        sets = [np.unique(shingle_hashes(t, words).astype(np.uint32)).view(np.int32) for t in texts_of(texts)]
+        sets = [np.unique(shingle_digests(t, words).astype(np.uint32)).view(np.int32) for t in texts_of(texts)]
         return pa.array(sets, pa.list_(pa.int32()))
 
     return F.arrow_udf(run, "array<int>")
@@ -109,10 +104,19 @@ def _stray_links(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return dealt.repartition("unit").sortWithinPartitions("unit", "key", "l", "r").mapInArrow(_compare(percent), "a long, b long")
 
 
-def copy_links(classes: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def _with_families(classes: DataFrame) -> DataFrame:
+    """`classes` (cls, print, keys) with one more key: that of all fingerprints which SimHash links reach."""
+    families = connected_components(linked_prints(classes)).toDF("print", "family")
+    family = F.xxhash64(F.coalesce("family", "print"), F.lit(BANDS))
+    return classes.join(families, "print", "left").select("cls", F.concat("keys", F.array(family)).alias("keys"))
+
+
+def copy_links(
+    classes: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """(a, b) links whose components are those of all candidate pairs that are alike.
 
-    `classes` has cls and keys, `texts` cls and text. Each list is first compared with one of its members, another
+    `classes` has cls and keys; `texts` gives cls and text of a table of cls, those that meet another. Each list is first compared with one of its members, another
     one in each band; only what that leaves apart is compared pair by pair, so a large group of near copies costs one row a member and band.
     """
     entries = classes.select("cls", F.explode("keys").alias("key"))
@@ -122,7 +126,7 @@ def copy_links(classes: DataFrame, texts: DataFrame, words: int = WORDS, percent
     once = lists.where("n > 1").groupBy("n", "sign").agg(F.min(F.struct("key", "led.leader")).alias("list"))
     members = save(entries.join(once.select("list.*"), "key"))
     met = members.select("cls").distinct()
-    sets = save(texts.join(met, "cls", "left_semi").select("cls", _shingles(words)(F.col("text")).alias("shingles")))
+    sets = save(texts(met).select("cls", _shingles(words)(F.col("text")).alias("shingles")))
     star = members.where("cls <> leader").select("cls", "leader").distinct()
     both = star.join(sets.toDF("cls", "mine"), "cls").join(sets.toDF("leader", "theirs"), "leader")
     near = save(both.where(_alike(F.col("mine"), F.col("theirs"), percent)).select(F.col("cls").alias("a"), F.col("leader").alias("b")))
@@ -143,11 +147,13 @@ def keep_one_of_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     row, made = fresh(docs, "row_number"), fresh(docs, "sketch")
     wide = save(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(made, _sketches(words)(F.col(text_column))))
     first = F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), F.col(row).alias("row"))
-    keys = F.first(F.slice(made, 2, BANDS)).alias("keys")
-    classes = save(wide.groupBy(F.col(made)[0].alias("cls")).agg(F.min(first).alias("low"), keys))
+    keys = F.first(F.slice(made, 3, BANDS)).alias("keys")
+    classes = save(wide.groupBy(F.col(made)[0].alias("cls")).agg(F.min(first).alias("low"), F.first(F.col(made)[1]).alias("print"), keys))
     lowest = classes.select("cls", F.col("low.row").alias(row))
-    texts = wide.select(row, F.col(text_column).alias("text")).join(lowest, row).select("cls", "text")
-    parts = connected_components(save(copy_links(classes, texts, words, percent))).withColumnRenamed("node", "cls")
+    # Ids are matched first, so that a text is shuffled once at most.
+    texts = lambda met: wide.select(row, F.col(text_column).alias("text")).join(lowest.join(met, "cls", "left_semi"), row).select("cls", "text")
+    listed = save(_with_families(classes.select("cls", "print", "keys")))
+    parts = connected_components(copy_links(listed, texts, words, percent)).withColumnRenamed("node", "cls")
     labelled = classes.join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     chosen = labelled.groupBy("component").agg(F.min("low").alias("low")).select(F.col("low.row").alias(row))
     return wide.join(chosen, row, "left_semi").select(*docs.columns)

@@ -30,19 +30,26 @@ SMALL_RUN = 48  # up to here all pairs of an anchor are compared at once
 RUN_ROWS = 100_000  # fingerprints of one anchor that one task compares; more are dealt out in tiles
 
 
-def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
-    """64-bit SimHash of the shingles of A-Z-lowered words; 0 without words."""
+def shingle_digests(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """XXH64 of the shingles of A-Z-lowered words, repeats included; a shorter text is one shingle, none without words."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return 0
-    last = max(1, len(found) - words + 1)
+    last = max(1, len(found) - words + 1) if found else 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(b" ".join(found[i : i + words]), SEED) for i in range(last)), dtype="<u8", count=last)
+    return np.fromiter((digest(b" ".join(found[i : i + words]), SEED) for i in range(last)), dtype="<u8", count=last)
+
+
+def print_of(digests: np.ndarray) -> int:
+    """64-bit SimHash of shingle digests; 0 if there are none."""
     votes = np.zeros(64, dtype=np.int64)
-    for start in range(0, last, 1 << 15):
-        part = hashes[start : start + (1 << 15)]
+    for start in range(0, len(digests), 1 << 15):
+        part = digests[start : start + (1 << 15)]
         votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > last, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(2 * votes > len(digests), bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
+    """64-bit SimHash of the shingles of A-Z-lowered words; 0 without words."""
+    return print_of(shingle_digests(text, words))
 
 
 def _fingerprints(words: int):
