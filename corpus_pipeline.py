@@ -26,7 +26,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id; of rows that repeat it, one.
 
-    Near copies have a Jaccard similarity of five-word shingles of 0.8 or more. A group whose rows have no
+    Near copies have a Jaccard similarity of five-word shingles of 0.8 or more; SimHash links and MinHash bands propose them. A group whose rows have no
     doc_id keeps one row.
     """
     return near_copies.keep_one_of_copies(docs)
@@ -45,7 +45,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality rules", quality_stage),
     ("toxicity", toxicity_stage),
-    ("near-copy dedup", dedup_stage),
+    ("SimHash near-dedup", dedup_stage),
     ("PII", pii_stage),
     ("best-fit packing", packing_stage),
 ]
