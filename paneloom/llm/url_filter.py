@@ -19,7 +19,7 @@ from paneloom.llm.tables import fresh, save
 RULES = (
     ("org/", "allow"),
     ("example.org/es/", "block"),
-    ("example.org/en/1", "allow"),
+    ("example.org/en/1", "block"),
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )

@@ -111,6 +111,16 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.where("false")).count() == 0
 
 
+def test_url_rules_are_those_of_the_contract(spark):
+    words = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+    assert dict(url_filter.RULES) == words and len(url_filter.RULES) == len(words)
+    urls = ["http://a.org/x", "http://b.example.org/es/2", "http://example.org/en/1", "http://www.example.org/en/17?q", "http://x.com/fr/", "http://com/de/3"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages).collect()}
+    rules = ["org/", "example.org/es/", "example.org/en/1", "example.org/en/1", "com/fr/", "com/de/"]
+    assert rows == {i: (r, words[r]) for i, r in enumerate(rules)}
+
+
 def test_url_model_tells_unseen_hosts(spark):
     """Hosts whose names are in no training host, and none of whose bad ones is in the given tables."""
     bad = [
