@@ -7,6 +7,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import partial
 from typing import Any
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.functions.scalars import as_double
@@ -196,17 +197,18 @@ def train_per_product(
     target: str = UNITS,
     min_rows: int = 5,
     ridge: float = 1e-6,
+    medians: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Linear model per product with at least `min_rows` training rows, and one over all rows.
 
     Each task sums the cross products of the centred features per product, so a product of any size
     arrives as one row per task; a small solve per product follows. The
     row with a NULL product is the model for all others. Columns: product_id, n_rows, intercept,
-    coefficients (in the order of `columns`).
+    coefficients (in the order of `columns`). `medians` are those of the training rows, if they are known.
     """
     columns = list(columns)
     train = df.where(F.col("split") == "train")
-    medians = training_medians(df, columns)
+    medians = training_medians(df, columns) if medians is None else medians
     filled = train.select(
         PRODUCT,
         as_double(df, target).alias("__y"),
@@ -312,6 +314,17 @@ def sample_params(family: str, n_trials: int, seed: int, ranges: Mapping[str, tu
     return trials
 
 
+def at_a_time(spark: SparkSession, jobs: Sequence[Callable[[], Any]], most: int) -> list[Any]:
+    """The jobs' results in their order, up to `most` running at a time; the first error drops those not started."""
+    with ThreadPoolExecutor(most) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        try:
+            return [s.result() for s in started]
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
+
+
 def tune_models(
     matrix: Matrix,
     metric: str = "wmape",
@@ -344,13 +357,11 @@ def tune_models(
         return family, number, "COMPLETE", 1e12 if value is None or not np.isfinite(value) else value, params
 
     wanted = [(f, i, p) for f in families for i, p in enumerate(sample_params(f, n_trials, seed, ranges))]
-    with ThreadPoolExecutor(parallelism or slots) as pool:
-        started = [pool.submit(inheritable_thread_target(prepared.rows.sparkSession)(trial), *w) for w in wanted]
-        try:
-            trials = [s.result() for s in started]
-        except BaseException:
-            pool.shutdown(cancel_futures=True)
-            raise
+    # The longest ones first, so that none of them is left over for the end.
+    work = lambda w: -w[2]["rounds"] * w[2]["depth"]
+    order = sorted(range(len(wanted)), key=lambda i: work(wanted[i]))
+    done = at_a_time(prepared.rows.sparkSession, [partial(trial, *wanted[i]) for i in order], parallelism or slots)
+    trials = [t for _, t in sorted(zip(order, done), key=lambda x: x[0])]
     if all(t[3] is None for t in trials):
         raise PanelError("No trial completed")
     best = {

@@ -22,6 +22,7 @@ BINS = 32
 EDGE_ROWS = 100_000  # rows, chosen by a hash of their key, that the bin edges are taken from
 EXACT = 2.0**50  # sums of whole numbers stay below this, so they are exact in double precision
 _CELLS = 1 << 21  # (row, column) cells counted at a time
+_PACK = 1024  # joint codes of columns that are counted together
 _NODES = 256  # nodes whose splits are searched at a time
 
 
@@ -52,9 +53,9 @@ class Trees:
 
     def leaves(self, codes: np.ndarray, tree: int) -> np.ndarray:
         """The leaf of each row in one tree."""
-        at, rows = np.full(len(codes), self.roots[tree]), np.arange(len(codes))
+        at, flat, rows = np.full(len(codes), self.roots[tree]), codes.reshape(-1), np.arange(len(codes)) * codes.shape[1]
         for _ in range(self.depth):
-            at = self.left[at] + (codes[rows, self.column[at]] > self.bin[at])
+            at = self.left[at] + (flat.take(rows + self.column[at]) > self.bin[at])
         return at
 
 
@@ -115,46 +116,110 @@ def _count(codes, target, weights, at, slot, n_slots, bins) -> np.ndarray:
     return np.stack([sums, counts], axis=1).astype(np.int64).reshape(n_slots, n_columns, bins, 2)
 
 
+@dataclass(frozen=True)
+class Pack:
+    """Columns whose codes make one number a row, below the product of `sizes`."""
+
+    columns: tuple[int, ...]
+    sizes: tuple[int, ...]
+    values: np.ndarray
+
+
+def columns_of(codes: np.ndarray) -> list[Pack]:
+    """Each column by itself."""
+    return [Pack((c,), (int(codes[:, c].max(initial=0)) + 1,), np.ascontiguousarray(codes[:, c])) for c in range(codes.shape[1])]
+
+
+def packs_of(single: Sequence[Pack]) -> list[Pack]:
+    """Columns in packs of at most `_PACK` joint codes, by their places in `single`."""
+    groups: list[list[int]] = []
+    size = lambda i: single[i].sizes[0]
+    for i in sorted(range(len(single)), key=lambda i: -size(i)):
+        own = next((g for g in groups if size(i) * int(np.prod([size(k) for k in g])) <= _PACK), None)
+        if own is None:
+            groups.append([i])
+        else:
+            own.append(i)
+    packs = []
+    for group in groups:
+        values = single[group[0]].values
+        for i in group[1:]:
+            values = values.astype(np.uint16) * np.uint16(size(i)) + single[i].values
+        packs.append(Pack(tuple(group), tuple(size(i) for i in group), values))
+    return packs
+
+
+def _count_packed(packs: Iterator[tuple[Pack, np.ndarray]], n_columns: int, target, weights, own, n_slots: int, bins: int) -> np.ndarray:
+    """As `_count` for one tree and rows of slots `own`: joint histograms of packs, then their margins, all exact."""
+    out = np.zeros((n_slots, n_columns, bins, 2), np.int64)
+    equal = weights.max(initial=1) == 1
+    total = target if equal else weights * target
+    for pack, values in packs:
+        width = int(np.prod(pack.sizes))
+        cells, shape = own * width, (n_slots, *pack.sizes)
+        cells += values
+        counts = np.bincount(cells, None if equal else weights, n_slots * width).reshape(shape)
+        sums = np.bincount(cells, total, n_slots * width).reshape(shape)
+        for axis, (c, size) in enumerate(zip(pack.columns, pack.sizes)):
+            others = tuple(i + 1 for i in range(len(shape) - 1) if i != axis)
+            out[:, c, :size, 0], out[:, c, :size, 1] = sums.sum(axis=others), counts.sum(axis=others)
+    return out
+
+
 def _splits(hist: np.ndarray, least: int, allowed: np.ndarray) -> tuple[np.ndarray, ...]:
     """(gains?, column, bin, left's sums): the best split of each node; equal ones by the lower column, then bin."""
     found = []
     for start in range(0, len(hist), _NODES):
         part = hist[start : start + _NODES]
-        below = part.cumsum(axis=2)
-        whole, below = below[:, :, -1:, :], below[:, :, :-1, :]
-        above = whole - below
-        n_left, n_right = below[..., 1], above[..., 1]
+        below = [part[..., i].cumsum(axis=2) for i in (0, 1)]
+        whole, (low, n_left) = [b[:, :, -1:] for b in below], [b[:, :, :-1] for b in below]
+        high, n_right = (w - b for w, b in zip(whole, (low, n_left)))
         fits = (n_left >= least) & (n_right >= least) & allowed[start : start + _NODES, :, None]
         with np.errstate(divide="ignore", invalid="ignore"):
-            score = below[..., 0].astype(np.float64) ** 2 / n_left + above[..., 0].astype(np.float64) ** 2 / n_right
-        score = np.where(fits, score, -np.inf).reshape(len(part), -1)
+            score = low.astype(np.float64) ** 2 / n_left + high.astype(np.float64) ** 2 / n_right
+        score[~fits] = -np.inf
+        score = score.reshape(len(part), -1)
         best = score.argmax(axis=1)
         column, cut = np.divmod(best, part.shape[2] - 1)
         rows = np.arange(len(part))
-        total = whole[:, 0, 0, :].astype(np.float64)
-        base = total[:, 0] ** 2 / np.maximum(total[:, 1], 1)
-        found.append((score[rows, best] > base * (1 + 1e-12) + 1e-9, column, cut, below[rows, column, cut]))
+        total, n = (w[:, 0, 0].astype(np.float64) for w in whole)
+        base = total**2 / np.maximum(n, 1)
+        chosen = np.stack([low[rows, column, cut], n_left[rows, column, cut]], axis=1)
+        found.append((score[rows, best] > base * (1 + 1e-12) + 1e-9, column, cut, chosen))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 class HeldRows:
-    """Rows of one task; each column of `weights` is a sample for one tree."""
+    """Rows of one task; each column of `weights` is a sample for one tree. `single` has the columns of `codes`, if they are known."""
 
-    def __init__(self, codes: np.ndarray, target: np.ndarray, weights: np.ndarray, bins: int = BINS):
+    def __init__(self, codes: np.ndarray, target: np.ndarray, weights: np.ndarray, bins: int = BINS, single: list[Pack] | None = None):
         self.codes, self.target, self.weights, self.bins = codes, target, weights, bins
-        self.trees = weights.shape[1]
+        self.trees, self.single, self.packs = weights.shape[1], single, None
         self.at = np.broadcast_to(np.arange(self.trees), weights.shape).copy()
 
-    def histograms(self, slot: np.ndarray, n_slots: int) -> np.ndarray:
-        return _count(self.codes, self.target, self.weights, self.at, slot, n_slots, self.bins)
+    def histograms(self, slot: np.ndarray, n_slots: int, columns: np.ndarray) -> np.ndarray:
+        """Of these columns."""
+        if self.trees > 1:
+            codes = self.codes if len(columns) == self.codes.shape[1] else self.codes[:, columns]
+            return _count(codes, self.target, self.weights, self.at, slot, n_slots, self.bins)
+        if self.packs is None:
+            single = self.single or columns_of(self.codes)
+            own = [Pack((i,), single[c].sizes, single[c].values) for i, c in enumerate(columns)]
+            self.packs = packs_of(own), own
+        own, weights = slot[self.at[:, 0]], self.weights[:, 0]
+        rows = np.flatnonzero((own >= 0) & (weights > 0))
+        packs = self.packs[0 if n_slots * _PACK <= len(rows) else 1]  # margins cost as much as there are cells
+        taken = ((p, p.values.take(rows)) for p in packs)
+        return _count_packed(taken, len(columns), self.target[rows], weights[rows], own[rows], n_slots, self.bins)
 
     def route(self, column: np.ndarray, cut: np.ndarray, left: np.ndarray) -> None:
         """One level down."""
+        flat, width = self.codes.reshape(-1), self.codes.shape[1]
         step = max(1, _CELLS // self.trees)
         for start in range(0, len(self.at), step):
             now = self.at[start : start + step]
-            rows = np.arange(start, start + len(now))[:, None]
-            self.at[start : start + step] = left[now] + (self.codes[rows, column[now]] > cut[now])
+            rows = np.arange(start, start + len(now))[:, None] * width
+            self.at[start : start + step] = left[now] + (flat.take(rows + column[now]) > cut[now])
 
 
 class SpreadRows:
@@ -163,14 +228,14 @@ class SpreadRows:
     Histograms are combined in each task and summed by (node, column); nodes x columns rows reach the driver.
     """
 
-    def __init__(self, table: DataFrame, make: Callable[[pa.RecordBatch], tuple], n_columns: int, trees: int, bins: int = BINS):
-        self.table, self.make, self.n_columns, self.trees, self.bins = table, make, n_columns, trees, bins
+    def __init__(self, table: DataFrame, make: Callable[[pa.RecordBatch], tuple], trees: int, bins: int = BINS):
+        self.table, self.make, self.trees, self.bins = table, make, trees, bins
         self.nodes: tuple | None = None
         self.levels = 0
 
-    def histograms(self, slot: np.ndarray, n_slots: int) -> np.ndarray:
+    def histograms(self, slot: np.ndarray, n_slots: int, columns: np.ndarray) -> np.ndarray:
         make, nodes, levels, trees, bins = self.make, self.nodes, self.levels, self.trees, self.bins
-        shape = (n_slots, self.n_columns, bins, 2)
+        shape = (n_slots, len(columns), bins, 2)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shape, np.int64)
@@ -179,14 +244,14 @@ class SpreadRows:
                     held = HeldRows(*make(batch), bins)
                     for _ in range(levels):
                         held.route(*nodes)
-                    total += held.histograms(slot, n_slots)
+                    total += held.histograms(slot, n_slots, columns)
             flat = total.reshape(-1, 2 * bins)
             cells = np.flatnonzero(flat.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(flat[cells].tolist(), pa.list_(pa.int64()))], names=["cell", "sums"])
 
         parts = self.table.mapInArrow(run, "cell long, sums array<long>")
         whole = parts.groupBy("cell").agg(F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(2 * bins)]).alias("sums")).collect()
-        out = np.zeros((n_slots * self.n_columns, 2 * bins), np.int64)
+        out = np.zeros((n_slots * len(columns), 2 * bins), np.int64)
         for cell, sums in whole:
             out[cell] = sums
         return out.reshape(shape)
@@ -198,19 +263,21 @@ class SpreadRows:
 def grow(rows: HeldRows | SpreadRows, depth: int, least: int, allowed: np.ndarray) -> Trees:
     """One tree per sample of the rows, each to least squares; values of leaves are means of the whole target.
 
-    A level counts the smaller child of each split; the other child's histogram is what is left of its parent's.
+    A level counts the smaller child of each split, on the columns that any tree may use; the other child's histogram is what is
+    left of its parent's. Children of which neither can be split are not counted.
     """
-    k = rows.trees
+    k, columns = rows.trees, np.flatnonzero(allowed.any(axis=0))
+    allowed = allowed[:, columns]
     column, cut, left, tree = np.zeros(k, np.int16), np.full(k, 255, np.uint8), np.arange(k), np.arange(k)
     fresh, rest, parents = np.arange(k), np.zeros(0, np.int64), None
     sums, reached = np.zeros((k, 2), np.int64), 0
     for level in range(depth):
         nodes = np.concatenate([fresh, rest])
-        if level and not (sums[nodes, 1] >= 2 * least).any():
+        if not len(nodes):
             break
         slot = np.full(len(column), -1)
         slot[fresh] = np.arange(len(fresh))
-        hist = rows.histograms(slot, len(fresh))
+        hist = rows.histograms(slot, len(fresh), columns)
         if parents is None:
             sums = hist[:, 0].sum(axis=1)
         else:
@@ -225,7 +292,7 @@ def grow(rows: HeldRows | SpreadRows, depth: int, least: int, allowed: np.ndarra
             break
         reached = level + 1
         first = len(column) + 2 * np.arange(len(nodes))
-        column[nodes], cut[nodes], left[nodes] = col, where, first
+        column[nodes], cut[nodes], left[nodes] = columns[col], where, first
         new = len(column) + np.arange(2 * len(nodes))
         high = sums[nodes] - low
         sums = np.concatenate([sums, np.stack([low, high], axis=1).reshape(-1, 2)])
@@ -235,7 +302,9 @@ def grow(rows: HeldRows | SpreadRows, depth: int, least: int, allowed: np.ndarra
         left = np.concatenate([left, new])
         rows.route(column, cut, left)
         smaller = low[:, 1] <= high[:, 1]
-        fresh, rest, parents = np.where(smaller, first, first + 1), np.where(smaller, first + 1, first), hist
+        fresh, rest = np.where(smaller, first, first + 1), np.where(smaller, first + 1, first)
+        counted = sums[rest, 1] >= 2 * least  # the larger child; if it can't be split, neither can the other
+        fresh, rest, parents = fresh[counted], rest[counted], hist[counted]
     return Trees(np.arange(k), column, cut, left, sums[:, 0] / np.maximum(sums[:, 1], 1), reached)
 
 
@@ -309,9 +378,9 @@ def boost(codes: np.ndarray, y: np.ndarray, keys: np.ndarray, p: Boosting, fit:
     """Add the rounds from `start` to before `stop` to `fit`, on rows that this task holds."""
     if start == 0:
         _start(fit, len(y), float(np.abs(y).max(initial=0.0)), lambda u: int(np.rint(y * u).astype(np.int64).sum()), lambda b: float(np.abs(y - b).max(initial=0.0)))
-    margin = fit.predict(codes)
+    margin, single = fit.predict(codes), columns_of(codes)
     for number in range(start, stop):
-        rows = HeldRows(codes, *_round(p, fit, number, y, margin, keys))
+        rows = HeldRows(codes, *_round(p, fit, number, y, margin, keys), single=single)
         trees = grow(rows, p.depth, p.least, _columns_of(p, number, codes.shape[1]))
         fit.parts.append(trees)
         margin = margin + fit.rate * (trees.value[rows.at[:, 0]] * fit.unit)
@@ -363,7 +432,7 @@ def spread_forest(rows: DataFrame, total: int, p: Forest, edges: np.ndarray, tog
             keys, y, codes = _arrays([batch], width)
             return codes, np.rint(y * unit), _bootstrap(keys, numbers, p.seed)
 
-        return SpreadRows(rows, make, width, len(numbers))
+        return SpreadRows(rows, make, len(numbers))
 
     return forest(total, largest, p, edges, min(together, p.trees), rows_of)
 
@@ -506,14 +575,14 @@ def _spread_boosted(rows: DataFrame, p: Boosting, edges: np.ndarray, total: int,
             keys, y, codes, margin = margins(batch, parts)
             return codes, *_round(p, fit, number, y, margin, keys)
 
-        fit.parts.append(grow(SpreadRows(table, make, width, 1), p.depth, p.least, _columns_of(p, number, width)))
+        fit.parts.append(grow(SpreadRows(table, make, 1), p.depth, p.least, _columns_of(p, number, width)))
     return fit
 
 
 def boosted(rows: DataFrame, p: Boosting, edges: np.ndarray, total: int, held_rows: int, rounds_a_stage: int) -> Fit:
     """Boost over rows (key long, y double, codes binary): in one task up to `held_rows` rows, else by jobs over all.
 
-    A task that holds the rows needs (columns + 40) bytes for each. The trees are the same either way.
+    A task that holds the rows needs (4 x columns + 100) bytes for each. The trees are the same either way.
     """
     if total <= held_rows:
         return _held_boosted(rows, p, edges, rounds_a_stage)

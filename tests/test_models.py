@@ -139,6 +139,19 @@ def test_a_failed_trial_does_not_end_the_search(tagged, monkeypatch):
         models.tune_models(made, n_trials=1)
 
 
+def test_the_longest_trials_start_first(tagged, monkeypatch):
+    seen = []
+
+    def rejected(prepared, family, params, seed):
+        seen.append(params["rounds"] * params["depth"])
+        raise PanelError("rejected")
+
+    monkeypatch.setattr(models, "_fit", rejected)
+    with pytest.raises(PanelError, match="No trial"):
+        models.tune_models(matrix.model_matrix(tagged), n_trials=6, parallelism=1)
+    assert len(seen) == 12 and seen == sorted(seen, reverse=True)
+
+
 def test_a_saved_model_scores_new_rows_like_the_fitted_one(spark, tagged, tmp_path):
     made = models.matrix_of(tagged)
     fitted = models.train_gbt(made, {"rounds": 3})

@@ -72,6 +72,21 @@ def test_a_forest_equals_plain_trees_on_the_same_bootstrap(coded):
     assert fit.predict(codes) == pytest.approx(want, abs=1e-9)
 
 
+def test_histograms_of_packed_columns_are_those_of_cells(coded):
+    """Few slots (packs of columns) and many (single columns), samples and repeats, on some of the columns."""
+    codes, target = np.repeat(coded[1], 20, axis=0), np.rint(RNG.normal(0, 1e6, 20 * N))
+    for n_slots in (3, 40):
+        for weights in (RNG.integers(0, 2, (20 * N, 1)), RNG.integers(0, 5, (20 * N, 1))):
+            for columns in (np.arange(4), np.array([1, 3])):
+                held = trees.HeldRows(codes, target, weights.astype(np.uint8))
+                held.at[:, 0] = RNG.integers(0, n_slots + 2, 20 * N)
+                slot = np.r_[-1, np.arange(n_slots), -1]
+                want = trees._count(codes[:, columns], target, held.weights, held.at, slot, n_slots, trees.BINS)
+                assert np.array_equal(held.histograms(slot, n_slots, columns), want)
+                joint, single = held.packs
+                assert len(single) == len(columns) > len(joint) and all(np.prod(p.sizes) <= trees._PACK for p in joint)
+
+
 def test_boosting_equals_plain_rounds(coded):
     edges, codes = coded
     p = trees.Boosting(rounds=6, rate=0.3, depth=3, least=4, seed=5)
