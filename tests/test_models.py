@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -207,3 +209,24 @@ def test_all_candidates_are_evaluated_and_products_get_their_winner(spark, tagge
         evaluate.forecast_by_segment(found.predictions, other.where("scope <> 'overall'"))
     with pytest.raises(PanelError, match="Unsupported"):
         evaluate.evaluate_models(tagged, params={"forest": {}})
+
+
+def test_candidates_are_fitted_together_on_medians_taken_once(tagged, monkeypatch):
+    together, taken, medians = threading.Barrier(3, timeout=60), [], matrix.training_medians
+
+    def meeting(fit):
+        def run(*given, **more):
+            together.wait()
+            return fit(*given, **more)
+
+        return run
+
+    for name in ("train_gbt", "train_gbt_deep", "train_per_product"):
+        monkeypatch.setattr(evaluate, name, meeting(getattr(evaluate, name)))
+    for module in (matrix, models):
+        monkeypatch.setattr(module, "training_medians", lambda *given: taken.append(1) or medians(*given))
+    found = evaluate.evaluate_models(tagged, params={"gbt": {"rounds": 2}, "gbt_deep": {"rounds": 2}})
+    assert len(taken) == 1 and set(found.trees) == {"gbt", "gbt_deep"}
+    coded = matrix.encode_with(tagged, found.matrix.codes)
+    alone = models.train_per_product(coded, found.matrix.columns).collect()
+    assert {r["product_id"]: r["n_rows"] for r in alone} == {r["product_id"]: r["n_rows"] for r in found.per_product.collect()}
